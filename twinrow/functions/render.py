@@ -26,20 +26,23 @@ VALUE = "value"
 VARIANT = "v"
 
 
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def _check_name(name: str) -> str:
-    if not name or any(mark in name for mark in "'\"?"):
+    if not name or any(mark in name for mark in "'\"?\\"):
         raise ValueError(f"field name cannot be addressed by a JSON path: {name!r}")
     return name
 
 
-def _part(name: str, variant: str | Column) -> Column:
-    v = F.col(variant) if isinstance(variant, str) else variant
-    return F.try_variant_get(v, f'$["{_check_name(name)}"]', "variant")
+def _part(name: str, variant: str) -> str:
+    return f"try_variant_get({_quoted(variant)}, '$[\"{_check_name(name)}\"]', 'variant')"
 
 
-def _raw(name: str, value: str | Column) -> Column:
+def _raw(name: str, value: str) -> str:
     """JSON text of a field, strings unquoted; null when missing or null."""
-    return F.get_json_object(value, f"$['{_check_name(name)}']")
+    return f"get_json_object({_quoted(value)}, '$[\\'{_check_name(name)}\\']')"
 
 
 def parse_record(value: str | Column = VALUE, strict: bool = True) -> Column:
@@ -47,35 +50,33 @@ def parse_record(value: str | Column = VALUE, strict: bool = True) -> Column:
     return F.parse_json(value) if strict else F.try_parse_json(value)
 
 
-def json_field(
-    name: str, value: str | Column = VALUE, variant: str | Column = VARIANT
-) -> Column:
+def json_field(name: str, value: str = VALUE, variant: str = VARIANT) -> Column:
     """JSON text of one field of a record, ``null`` when missing.
 
     A variant drops trailing zeros and reorders object keys, so only the kinds it
     prints unchanged are taken from it. The others are cut from the text.
     """
     part = _part(name, variant)
-    kind = F.schema_of_variant(part)
-    return (
-        F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), F.to_json(part))
-        .when(kind.isNull() | (kind == "VOID"), F.lit("null"))
-        .otherwise(F.coalesce(_raw(name, value), F.lit("null")))
+    return F.expr(
+        f"""case when schema_of_variant({part}) in ('STRING', 'BIGINT', 'BOOLEAN')
+              then to_json({part})
+            when coalesce(schema_of_variant({part}), 'VOID') = 'VOID' then 'null'
+            else coalesce({_raw(name, value)}, 'null') end"""
     )
 
 
-def column_field(column: Column, kind: T.DataType) -> Column:
+def column_field(name: str, kind: T.DataType) -> Column:
     """The same rendering for a typed column: quoted text, bare numbers."""
+    c = _quoted(name)
     if isinstance(kind, T.StringType):
-        boxed = F.to_json(F.array(column))
-        text = F.substring(boxed, F.lit(2), F.length(boxed) - 2)
+        text = f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)"
     elif isinstance(kind, (T.NumericType, T.BooleanType)):
-        text = column.cast("string")
+        text = f"cast({c} as string)"
     elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-        text = F.to_json(column)
+        text = f"to_json({c})"
     else:
-        text = F.concat(F.lit('"'), column.cast("string"), F.lit('"'))
-    return F.when(column.isNull(), F.lit("null")).otherwise(text)
+        text = f"concat('\"', cast({c} as string), '\"')"
+    return F.expr(f"if({c} is null, 'null', {text})")
 
 
 def field_texts(df: DataFrame, fields: Sequence[str]) -> list[Column]:
@@ -83,7 +84,7 @@ def field_texts(df: DataFrame, fields: Sequence[str]) -> list[Column]:
     if VARIANT in df.columns:
         return [json_field(name) for name in fields]
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    return [column_field(F.col(f"`{name}`"), kinds[name]) for name in fields]
+    return [column_field(name, kinds[name]) for name in fields]
 
 
 def render_json(texts: Sequence[Column]) -> Column:
@@ -109,10 +110,7 @@ def render_labelled(columns: Mapping[str, str | Column]) -> Column:
 
 
 def render_text(
-    fields: Sequence[str],
-    key: bool = False,
-    value: str | Column = VALUE,
-    variant: str | Column = VARIANT,
+    fields: Sequence[str], key: bool = False, value: str = VALUE, variant: str = VARIANT
 ) -> Column:
     """Text of string fields only.
 
@@ -121,14 +119,11 @@ def render_text(
     """
     parts: list[Column] = []
     for name in fields:
-        kind = F.schema_of_variant(_part(name, variant))
-        text = F.when(kind == "STRING", _raw(name, value))
-        if key:
-            text = text.when(kind.isNull(), F.lit("")).otherwise(F.lit("null"))
-            parts += [F.lit(f"{name}|")]
-        else:
-            text = text.otherwise(F.lit(""))
-        parts += [text, F.lit("|")]
+        kind = f"schema_of_variant({_part(name, variant)})"
+        other = f"when {kind} is not null then 'null' else ''" if key else "else ''"
+        text = F.expr(f"case when {kind} = 'STRING' then {_raw(name, value)} {other} end")
+        parts += [F.lit(f"{name}|"), text] if key else [text]
+        parts.append(F.lit("|"))
     return F.concat(*parts)
 
 
@@ -137,8 +132,8 @@ def key_text(df: DataFrame, key_fields: Sequence[str]) -> Column:
     if VARIANT in df.columns:
         texts = [_raw(name, VALUE) for name in key_fields]
     else:
-        texts = [F.col(f"`{name}`").cast("string") for name in key_fields]
-    return F.concat_ws("|", *[F.coalesce(t, F.lit("null")) for t in texts])
+        texts = [f"cast({_quoted(name)} as string)" for name in key_fields]
+    return F.expr(f"concat_ws('|', {', '.join(f'coalesce({t}, \'null\')' for t in texts)})")
 
 
 def digest(text: Column) -> Column:

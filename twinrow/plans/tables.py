@@ -108,7 +108,7 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     Each language has spaces of its own kind, so the two blank rules differ.
     """
     gaps = F.regexp_replace("text", r"\S+", "")
-    kinds = {"fr": " ", "de": "\u0001", "es": " "}
+    kinds = {"fr": "\u2003", "de": "\u0001", "es": "\u00a0"}
     own = F.col("lang")
     space = F.lit(" ")
     for lang, mark in kinds.items():
