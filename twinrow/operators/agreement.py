@@ -35,10 +35,11 @@ def both_sides(left: DataFrame, right: DataFrame, n: str | None = None) -> DataF
 
 
 def tally(
-    left: DataFrame, right: DataFrame, on: Sequence[str], value: str
+    left: DataFrame, right: DataFrame, on: Sequence[str], value: str, n: str | None = None
 ) -> DataFrame:
     """Rows of each side per key, and whether all rows of the key agree.
 
+    A row stands for one record, or for as many as column ``n`` says.
     ``value`` holds a digest. Text has no fixed width and would turn the
     aggregation into a sort, so two 64-bit hashes of the digest stand in for it:
     all rows agree when the least and the greatest are equal for both.
@@ -46,10 +47,12 @@ def tally(
     seen = both_sides(
         *[
             side.select(
-                *on, F.xxhash64(value).alias("a"), F.xxhash64(F.lit(1), value).alias("b")
+                *on, F.xxhash64(value).alias("a"), F.xxhash64(F.lit(1), value).alias("b"),
+                *([n] if n else []),
             )
             for side in (left, right)
-        ]
+        ],
+        n=n,
     )
     agree = (F.min("a") == F.max("a")) & (F.min("b") == F.max("b"))
     return seen.groupBy(*on).agg(

@@ -174,11 +174,11 @@ def differing_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Data
     ``crowded`` marks the keys that have several rows on both sides.
     """
     sides = [
-        side.select(*on, render.digest(render.render_json([F.to_json("texts")])).alias("h"))
+        side.select(*on, render.digest(F.concat_ws("|", "texts")).alias("h"), "n")
         for side in (left, right)
     ]
     return (
-        tally(*sides, on, "h")
+        tally(*sides, on, "h", "n")
         .where("left_rows > 0 and right_rows > 0 and not agree")
         .select(*on, F.expr("left_rows > 1 and right_rows > 1").alias("crowded"))
     )
