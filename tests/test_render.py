@@ -1,4 +1,5 @@
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,3 +142,12 @@ def test_key_text(records):
 def test_record_text(spark):
     df = spark.createDataFrame([("a", None, 3)], "x string, y string, z int")
     assert df.select(render.record_text(df.columns)).first()[0] == "(a,null,3)"
+
+
+def test_typed_text_is_escaped_as_in_json(spark):
+    texts = ["", "plain", 'q"q', "b\\b", "t\tn\nr\r", "\x01\x1f", "\x7f\u2028é", "a/b|c", "x0"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = df.select("s", render.field_texts(df, ["s"])[0]).collect()
+    assert [r[1] for r in got] == [json.dumps(t, ensure_ascii=False) for t in texts[:5]] + [
+        '"\\u0001\\u001F"', '"\x7f\u2028é"', '"a/b|c"', '"x0"',
+    ]

@@ -69,7 +69,10 @@ def column_field(name: str, kind: T.DataType) -> Column:
     """The same rendering for a typed column: quoted text, bare numbers."""
     c = _quoted(name)
     if isinstance(kind, T.StringType):
-        text = f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)"
+        # Only text with a quote, a backslash or a control character needs escapes.
+        escaped = f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)"
+        special = r"""'["\\\\\\x00-\\x1f]'"""
+        text = f"if({c} rlike {special}, {escaped}, concat('\"', {c}, '\"'))"
     elif isinstance(kind, (T.NumericType, T.BooleanType)):
         text = f"cast({c} as string)"
     elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):

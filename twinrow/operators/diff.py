@@ -19,9 +19,9 @@ its left values and once from its right ones, in rows linear in its records.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from twinrow.functions import render
@@ -44,16 +44,28 @@ def check_fields(left_fields: Sequence[str], right_fields: Sequence[str]) -> Non
         )
 
 
-def rendered(
+def keyed(
     df: DataFrame,
     fields: Sequence[str],
     key_fields: Sequence[str],
     keep: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """Key hash, key text for display, rendered fields as an array, one copy."""
+    """Records with their key hash, without columns the comparison does not need."""
+    if render.VARIANT in df.columns:
+        columns = [render.VALUE, render.VARIANT]
+    else:
+        columns = list(dict.fromkeys([*fields, *key_fields]))
     return with_key_hash(df, key_fields).select(
-        *keep,
-        "key_hash",
+        *keep, "key_hash", *[f"`{c}`" for c in columns]
+    )
+
+
+def rendered(
+    df: DataFrame, fields: Sequence[str], key_fields: Sequence[str], on: Sequence[str]
+) -> DataFrame:
+    """Key text for display, rendered fields as an array, and a count of one copy."""
+    return df.select(
+        *on,
         render.key_text(df, key_fields).alias("key"),
         F.array(*render.field_texts(df, fields)).alias("texts"),
         F.lit(1).cast("bigint").alias("n"),
@@ -169,21 +181,47 @@ def _counted(
 
 
 def differing_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Phase one: keys of rendered frames that both sides hold with differing rows.
+    """Phase one: keys that both sides hold with differing rows.
 
-    ``crowded`` marks the keys that have several rows on both sides.
+    The sides have a digest ``h`` and stand for ``n`` records a row. ``crowded``
+    marks the keys that have several records on both sides.
     """
-    sides = [
-        side.select(*on, render.digest(F.concat_ws("|", "texts")).alias("h"), "n")
-        for side in (left, right)
-    ]
     return (
-        tally(*sides, on, "h", "n")
+        tally(left, right, on, "h", "n")
         .where("left_rows > 0 and right_rows > 0 and not agree")
         .select(*on, F.expr("left_rows > 1 and right_rows > 1").alias("crowded"))
     )
 
 
+Sides = tuple[DataFrame, DataFrame]
+
+
+def _two_phases(
+    hashes: Sides,
+    rows_of: Callable[[DataFrame], Sides],
+    left_fields: Sequence[str],
+    right_fields: Sequence[str],
+    on: Sequence[str],
+    keep: Sequence[str],
+) -> DataFrame:
+    """Find the differing keys now, and plan the report over the rows of those."""
+    spark = hashes[0].sparkSession
+    folder = run_folder(spark, "differing-keys")
+    seen = Observation()
+    keys = differing_keys(*hashes, on)
+    keys.observe(seen, F.max("crowded").alias("crowded")).write.parquet(folder)
+    found = spark.read.schema(keys.schema).parquet(folder)
+
+    def route(how: Callable[..., DataFrame], crowded: bool) -> DataFrame:
+        chosen = found.where(F.col("crowded") == crowded).select(*on)
+        return how(*rows_of(chosen), on, left_fields, right_fields, keep)
+
+    report = route(_joined, False)
+    if seen.get["crowded"]:
+        report = report.unionByName(route(_counted, True))
+    return report
+
+
 def diff_rendered(
     left: DataFrame,
     right: DataFrame,
@@ -194,20 +232,54 @@ def diff_rendered(
 ) -> DataFrame:
     """Report over frames made by ``rendered``. Runs phase one when called."""
     check_fields(left_fields, right_fields)
-    spark = left.sparkSession
-    folder = run_folder(spark, "differing-keys")
-    differing_keys(left, right, on).write.parquet(folder)
-    found = spark.read.parquet(folder)
+    sides = (left, right)
+    hashes = tuple(
+        side.select(*on, render.digest(F.concat_ws("|", "texts")).alias("h"), "n")
+        for side in sides
+    )
 
-    def route(how, crowded: bool) -> DataFrame:
-        keys = found.where(F.col("crowded") == crowded).select(*on)
-        kept = [side.join(keys, list(on), "left_semi") for side in (left, right)]
-        return how(*kept, on, left_fields, right_fields, keep)
+    def rows_of(keys: DataFrame) -> Sides:
+        return tuple(side.join(keys, list(on), "left_semi") for side in sides)
 
-    report = route(_joined, False)
-    if not found.where("crowded").isEmpty():
-        report = report.unionByName(route(_counted, True))
-    return report
+    return _two_phases(hashes, rows_of, left_fields, right_fields, on, keep)
+
+
+def diff_keyed(
+    left: DataFrame,
+    right: DataFrame,
+    left_fields: Sequence[str],
+    right_fields: Sequence[str],
+    left_key_fields: Sequence[str],
+    right_key_fields: Sequence[str],
+    on: Sequence[str] = ("key_hash",),
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Report over frames made by ``keyed``. Runs phase one when called.
+
+    Fields are rendered for display only in rows whose key differs. JSON text is
+    parsed again there, which costs less than moving its parsed form along.
+    """
+    check_fields(left_fields, right_fields)
+    sides = ((left, left_fields, left_key_fields), (right, right_fields, right_key_fields))
+    hashes = tuple(
+        df.select(
+            *on,
+            render.digest(render.render_json(render.field_texts(df, fields))).alias("h"),
+            F.lit(1).cast("bigint").alias("n"),
+        )
+        for df, fields, _ in sides
+    )
+
+    def rows_of(keys: DataFrame) -> Sides:
+        kept = []
+        for df, fields, key_fields in sides:
+            rows = df.drop(render.VARIANT).join(keys, list(on), "left_semi")
+            if render.VARIANT in df.columns:
+                rows = rows.withColumn(render.VARIANT, render.parse_record())
+            kept.append(rendered(rows, fields, key_fields, on))
+        return tuple(kept)
+
+    return _two_phases(hashes, rows_of, left_fields, right_fields, on, keep)
 
 
 def diff_report(
@@ -220,10 +292,10 @@ def diff_report(
 ) -> DataFrame:
     """Differing fields of all keys that both sides hold."""
     right_fields = right_fields or left_fields
+    right_key_fields = right_key_fields or key_fields
     check_fields(left_fields, right_fields)
-    return diff_rendered(
-        rendered(left, left_fields, key_fields),
-        rendered(right, right_fields, right_key_fields or key_fields),
-        left_fields,
-        right_fields,
+    return diff_keyed(
+        keyed(left, left_fields, key_fields),
+        keyed(right, right_fields, right_key_fields),
+        left_fields, right_fields, key_fields, right_key_fields,
     )

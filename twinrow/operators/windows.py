@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from twinrow.functions.render import VARIANT
 from twinrow.operators.agreement import both_sides
-from twinrow.operators.diff import check_fields, diff_rendered, rendered
+from twinrow.operators.diff import check_fields, diff_keyed, keyed
 from twinrow.operators.hashing import with_key_hash
 
 WIDTH = "30 seconds"
@@ -53,14 +53,6 @@ def window_join(
     return l.join(r, on).select(F.col("w.start").alias("window_start"), "key_hash", "left", "right")
 
 
-def window_rendered(
-    df: DataFrame, fields: Sequence[str], key_fields: Sequence[str],
-    ts: str = "ts", width: str = WIDTH,
-) -> DataFrame:
-    """Rendered records with the start of their window."""
-    return rendered(df, fields, key_fields, keep=[F.window(ts, width)["start"].alias("window_start")])
-
-
 def window_diff(
     left: DataFrame,
     right: DataFrame,
@@ -74,12 +66,13 @@ def window_diff(
     """Differing fields of records that meet in a window, without forming pairs
     for keys that are crowded within it."""
     right_fields = right_fields or left_fields
+    right_key_fields = right_key_fields or key_fields
     check_fields(left_fields, right_fields)
-    return diff_rendered(
-        window_rendered(left, left_fields, key_fields, ts, width),
-        window_rendered(right, right_fields, right_key_fields or key_fields, ts, width),
-        left_fields,
-        right_fields,
+    start = F.window(ts, width)["start"].alias("window_start")
+    return diff_keyed(
+        keyed(left, left_fields, key_fields, keep=[start]),
+        keyed(right, right_fields, right_key_fields, keep=[start]),
+        left_fields, right_fields, key_fields, right_key_fields,
         on=["window_start", "key_hash"],
         keep=["window_start"],
     )

@@ -157,6 +157,10 @@ where la.n - coalesce(ln.n, 0) > 0"""
 # ------------------------------------------------------------ keys that differ
 
 
+def _clicks_and_views(spark: SparkSession, folder: str) -> list[DataFrame]:
+    return [tables.event_records(spark, folder, kind) for kind in ("click", "view")]
+
+
 def _both_orders(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return tables.orders(spark, folder), tables.orders_copy(spark, folder)
 
@@ -263,7 +267,8 @@ def field_diff(spark: SparkSession, folder: str) -> DataFrame:
     """Differences of pairs that have been joined already."""
     fields = ["name", "val"]
     left, right = (
-        diff.rendered(side, fields, ["id"]) for side in _both_orders(spark, folder)
+        diff.rendered(diff.keyed(side, fields, ["id"]), fields, ["id"], on=["key_hash"])
+        for side in _both_orders(spark, folder)
     )
     pairs = left.withColumnsRenamed({"key": "left_key", "texts": "left_texts"}).join(
         right.withColumnsRenamed({"key": "right_key", "texts": "right_texts"}), "key_hash"
@@ -283,11 +288,7 @@ def diff_report(spark: SparkSession, folder: str) -> DataFrame:
 @query(_report_sql("k", ""))
 def diff_report_crowded(spark: SparkSession, folder: str) -> DataFrame:
     """Clicks against views by user, where nearly every key repeats on both sides."""
-    events = tables.event_records(spark, folder)
-    return diff.diff_report(
-        tables.by_type(events, "click"), tables.by_type(events, "view"),
-        DIFF_FIELDS, ["user_id"],
-    )
+    return diff.diff_report(*_clicks_and_views(spark, folder), DIFF_FIELDS, ["user_id"])
 
 
 # ------------------------------------------------------------ reconciliation
@@ -482,11 +483,6 @@ def word_count_union(spark: SparkSession, folder: str) -> DataFrame:
 # ------------------------------------------------------------ windows
 
 
-def _clicks_and_views(spark: SparkSession, folder: str) -> list[DataFrame]:
-    events = tables.event_records(spark, folder)
-    return [tables.by_type(events, kind) for kind in ("click", "view")]
-
-
 PAIRS_SQL = f"""
 with {EVENT_SIDES}
 select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, md5(k || '|') as key_hash,

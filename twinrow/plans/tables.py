@@ -94,12 +94,14 @@ def event_messages(events: DataFrame) -> DataFrame:
     )
 
 
-def event_records(spark: SparkSession, folder: str) -> DataFrame:
-    return decode_json(event_messages(table(spark, folder, "events")))
-
-
-def by_type(records: DataFrame, event_type: str) -> DataFrame:
-    return records.where(F.get_json_object("value", "$.event_type") == event_type)
+def event_records(
+    spark: SparkSession, folder: str, event_type: str | None = None
+) -> DataFrame:
+    """Events, or those of one type, as JSON records."""
+    events = table(spark, folder, "events")
+    if event_type:
+        events = events.where(F.col("event_type") == event_type)
+    return decode_json(event_messages(events))
 
 
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,10 +111,9 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """
     gaps = F.regexp_replace("text", r"\S+", "")
     kinds = {"fr": "\u2003", "de": "\u0001", "es": "\u00a0"}
-    own = F.col("lang")
     space = F.lit(" ")
     for lang, mark in kinds.items():
-        space = F.when(own == lang, F.lit(mark)).otherwise(space)
+        space = F.when(F.col("lang") == lang, F.lit(mark)).otherwise(space)
     return (
         table(spark, folder, "documents")
         .join(table(spark, folder, "labels"), "doc_id", "left")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from twinrow.operators.agreement import both_sides
-from twinrow.operators.diff import check_fields, diff_rendered, rendered
+from twinrow.operators.diff import check_fields, diff_rendered, keyed, rendered
 from twinrow.operators.reconcile import latest, reconcile
 from twinrow.operators.windows import WIDTH
 
@@ -82,17 +82,20 @@ def start_window_diff(
     stream stops are reported after a restart.
     """
     right_fields = right_fields or left_fields
+    right_key_fields = right_key_fields or key_fields
     check_fields(left_fields, right_fields)
     window = F.window(ts, width).alias("w")
-    counted = (
-        both_sides(
-            rendered(left.withWatermark(ts, delay), left_fields, key_fields, keep=[window]),
-            rendered(
-                right.withWatermark(ts, delay), right_fields,
-                right_key_fields or key_fields, keep=[window],
-            ),
-            n="n",
+    sides = [
+        rendered(
+            keyed(side.withWatermark(ts, delay), fields, keys, keep=[window]),
+            fields, keys, on=["w", "key_hash"],
+        )
+        for side, fields, keys in (
+            (left, left_fields, key_fields), (right, right_fields, right_key_fields),
         )
+    ]
+    counted = (
+        both_sides(*sides, n="n")
         .groupBy("w", "key_hash", "key", "texts")
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
         .select(F.col("w.start").alias("window_start"), "key_hash", "key", "texts", "l", "r")
