@@ -43,11 +43,17 @@ def test_halves_meet_only_inside_a_window(spark):
 
 def test_matches_are_the_join_before_multiplying_out(spark):
     left, right = frame(spark, LEFT), frame(spark, RIGHT)
-    got = windows.window_matches(left, right, ["id"]).select("side", "record.value", "partners")
+    matches = windows.window_matches(left, right, ["id"])
+    one, two = '{"id":1,"a":"x"}', '{"id":1,"a":"y"}'
+    got = matches.select("side", "record.value", "left_rows", "right_rows")
     assert rows(got) == sorted([
-        ("LEFT", '{"id":1,"a":"x"}', 2), ("LEFT", '{"id":1,"a":"y"}', 2),
-        ("LEFT", '{"id":3,"a":"x"}', 1), ("RIGHT", '{"id":1,"a":"y"}', 2),
-        ("RIGHT", '{"id":1,"a":"y"}', 2), ("RIGHT", '{"id":3,"a":"z"}', 1),
+        ("LEFT", one, 2, 2), ("LEFT", two, 2, 2), ("LEFT", '{"id":3,"a":"x"}', 1, 1),
+        ("RIGHT", two, 2, 2), ("RIGHT", two, 2, 2), ("RIGHT", '{"id":3,"a":"z"}', 1, 1),
+    ], key=repr)
+    got = windows.window_pairs(matches).select("left.value", "right.value", "left_rows", "right_rows")
+    assert rows(got) == sorted([
+        (one, None, 1, 2), (two, None, 1, 2), (None, two, 2, 1), (None, two, 2, 1),
+        ('{"id":3,"a":"x"}', '{"id":3,"a":"z"}', 1, 1),
     ], key=repr)
 
 

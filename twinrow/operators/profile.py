@@ -31,7 +31,10 @@ def drop_blank(
     """Rows without a blank field.
 
     With ``observe`` the blank fields of all rows, dropped ones too, are counted
-    in the same pass; read ``observe.get`` once the result has been written.
+    in the same pass; read ``observe.get`` once the result has been written. The
+    counts hold when the rows go to the output without a shuffle: a lost executor
+    can make tasks before a shuffle run, and count, twice. Use ``blank_profile``
+    there.
     """
     seen = df.observe(observe, *_counts(columns, rule)) if observe is not None else df
     keep = ~is_blank(columns[0], rule)

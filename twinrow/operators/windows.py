@@ -13,6 +13,7 @@ from twinrow.operators.diff import check_fields, diff_keyed, keyed
 from twinrow.operators.hashing import with_key_hash
 
 WIDTH = "30 seconds"
+GROUP = ["window_start", "key_hash"]
 
 
 def _in_window(
@@ -73,7 +74,7 @@ def window_diff(
         keyed(left, left_fields, key_fields, keep=[start]),
         keyed(right, right_fields, right_key_fields, keep=[start]),
         left_fields, right_fields, key_fields, right_key_fields,
-        on=["window_start", "key_hash"],
+        on=GROUP,
         keep=["window_start"],
     )
 
@@ -86,7 +87,7 @@ def window_matches(
     width: str = WIDTH,
     right_key_fields: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Records that meet a partner in their window, with the number of partners.
+    """Records that meet a partner in their window, with the rows of both sides.
 
     This is the window join before its pairs are multiplied out: each record
     appears once, and the pairs of a window and key are all its left records
@@ -102,12 +103,34 @@ def window_matches(
             ("LEFT", left, key_fields), ("RIGHT", right, right_key_fields or key_fields),
         )
     ]
-    on = ["window_start", "key_hash"]
-    counts = both_sides(*[side.select(*on) for side in sides]).groupBy(*on).agg(
+    counts = both_sides(*[side.select(*GROUP) for side in sides]).groupBy(*GROUP).agg(
         F.sum("l").alias("left_rows"), F.sum("r").alias("right_rows")
     )
     met = counts.where("left_rows > 0 and right_rows > 0")
-    partners = F.when(F.col("side") == "LEFT", F.col("right_rows")).otherwise(F.col("left_rows"))
-    return sides[0].unionByName(sides[1]).join(met, on).select(
-        *on, "side", "record", partners.alias("partners")
+    return sides[0].unionByName(sides[1]).join(met, GROUP)
+
+
+def window_pairs(matches: DataFrame) -> DataFrame:
+    """The pairs behind ``window_matches``, in rows linear in the records.
+
+    Where a window and key has one record on a side, each pair is a row. Where
+    it is crowded on both, each record is a row of its own, the other half left
+    null. ``left_rows`` and ``right_rows`` say how many records a row speaks for.
+    """
+    crowded = F.least("left_rows", "right_rows") > 1
+    one = F.lit(1).cast("bigint")
+    few = matches.where(~crowded)
+    lone = F.col("side") == "LEFT"
+    pairs = (
+        few.where(lone).select(*GROUP, F.col("record").alias("left"))
+        .join(few.where(~lone).select(*GROUP, F.col("record").alias("right")), GROUP)
+        .withColumns({"left_rows": one, "right_rows": one})
+    )
+    alone = matches.where(crowded).select(
+        *GROUP,
+        F.when(lone, F.col("record")).alias("left"),
+        F.when(~lone, F.col("record")).alias("right"),
+        F.when(lone, one).otherwise(F.col("left_rows")).alias("left_rows"),
+        F.when(lone, F.col("right_rows")).otherwise(one).alias("right_rows"),
     )
+    return pairs.unionByName(alone)

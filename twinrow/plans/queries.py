@@ -262,18 +262,22 @@ def _fields_sql(names: list[str]) -> str:
     )
 
 
-@query(f"with {ORDERS} {_fields_sql(['name', 'val'])}")
-def field_diff(spark: SparkSession, folder: str) -> DataFrame:
-    """Differences of pairs that have been joined already."""
-    fields = ["name", "val"]
-    left, right = (
-        diff.rendered(diff.keyed(side, fields, ["id"]), fields, ["id"], on=["key_hash"])
-        for side in _both_orders(spark, folder)
-    )
-    pairs = left.withColumnsRenamed({"key": "left_key", "texts": "left_texts"}).join(
-        right.withColumnsRenamed({"key": "right_key", "texts": "right_texts"}), "key_hash"
+MATCHED_SQL = " union all ".join(
+    f"select k as left_key, k as right_key, '{l}' as left_field, '\"' || {lv} || '\"' as left_value, "
+    f"'{r}' as right_field, '\"' || {rv} || '\"' as right_value from base where not lost and {lv} <> {rv}"
+    for l, lv, r, rv in (
+        ("name", "p", "label", "p2"),
+        ("val", "cast(cast(t as decimal(18,2)) as varchar)",
+         "amount", "cast(cast(t2 as decimal(18,2)) as varchar)"),
     )
-    return diff.field_diff(pairs, fields, fields)
+)
+
+
+@query(f"with {ORDERS} {MATCHED_SQL}")
+def field_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """Differences of records that are matched already."""
+    pairs = tables.orders_matched(spark, folder)
+    return diff.field_diff(pairs, ["name", "val"], ["label", "amount"])
 
 
 @query(f"""
@@ -489,37 +493,51 @@ select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, md5(k || '|') as key_ha
   cl.text as left_value, vi.text as right_value
 from cl join vi using (k, w)"""
 
-
-def _shown_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.select(
-        _time("window_start").alias("window_start"), "key_hash",
-        F.col("left.value").alias("left_value"), F.col("right.value").alias("right_value"),
-    )
-
-
-@query(PAIRS_SQL)
-def window_join_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown_pairs(
-        windows.window_join(*_clicks_and_views(spark, folder), ["user_id"], width=HOUR)
-    )
+MATCHES = f"""{EVENT_SIDES},
+n as (select k, w, count(*) filter (event_type = 'click') as ln,
+        count(*) filter (event_type = 'view') as rn
+      from sides where event_type in ('click', 'view') group by k, w),
+m as (select *, strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, md5(k || '|') as key_hash
+      from sides join n using (k, w)
+      where event_type in ('click', 'view') and ln > 0 and rn > 0)"""
 
 
 @query(f"""
-with {EVENT_SIDES},
-n as (select k, w, count(*) filter (event_type = 'click') as ln,
-        count(*) filter (event_type = 'view') as rn
-      from sides where event_type in ('click', 'view') group by k, w)
-select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, md5(k || '|') as key_hash,
-  case when event_type = 'click' then 'LEFT' else 'RIGHT' end as side,
-  text as value, case when event_type = 'click' then rn else ln end as partners
-from sides join n using (k, w)
-where event_type in ('click', 'view') and ln > 0 and rn > 0""")
+with {MATCHES}
+select window_start, key_hash, case when event_type = 'click' then 'LEFT' else 'RIGHT' end as side,
+  text as value, ln as left_rows, rn as right_rows from m""")
 def window_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The window join with its pairs not multiplied out."""
     return windows.window_matches(
         *_clicks_and_views(spark, folder), ["user_id"], width=HOUR
     ).select(
         _time("window_start").alias("window_start"), "key_hash", "side",
-        F.col("record.value").alias("value"), "partners",
+        F.col("record.value").alias("value"), "left_rows", "right_rows",
+    )
+
+
+@query(f"""
+with {MATCHES},
+few as (select * from m where least(ln, rn) = 1)
+select a.window_start, a.key_hash, a.text as left_value, b.text as right_value,
+  cast(1 as bigint) as left_rows, cast(1 as bigint) as right_rows
+from few a join few b on a.k = b.k and a.w = b.w
+where a.event_type = 'click' and b.event_type = 'view'
+union all
+select window_start, key_hash, case when event_type = 'click' then text end,
+  case when event_type = 'view' then text end,
+  case when event_type = 'click' then 1 else ln end,
+  case when event_type = 'click' then rn else 1 end
+from m where least(ln, rn) > 1""")
+def window_join_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of the window join; crowded windows and keys record by record."""
+    matches = windows.window_matches(
+        *_clicks_and_views(spark, folder), ["user_id"], width=HOUR
+    )
+    return windows.window_pairs(matches).select(
+        _time("window_start").alias("window_start"), "key_hash",
+        F.col("left.value").alias("left_value"), F.col("right.value").alias("right_value"),
+        "left_rows", "right_rows",
     )
 
 
@@ -620,7 +638,10 @@ def stream_window_join(spark: SparkSession, folder: str) -> DataFrame:
     _finished(
         running.append_to_table(pairs, f"{run}/out", f"{run}/checkpoint", availableNow=True)
     )
-    return _shown_pairs(spark.read.schema(pairs.schema).parquet(f"{run}/out"))
+    return spark.read.schema(pairs.schema).parquet(f"{run}/out").select(
+        _time("window_start").alias("window_start"), "key_hash",
+        F.col("left.value").alias("left_value"), F.col("right.value").alias("right_value"),
+    )
 
 
 @query(_window_report_sql("""

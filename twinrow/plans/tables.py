@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinrow.functions.render import field_texts
 from twinrow.sources.topics import decode_json
 
 ID_FIELDS = ["id", "name", "val"]
@@ -81,6 +82,22 @@ def orders_wide(spark: SparkSession, folder: str) -> DataFrame:
     return df.select(*columns)
 
 
+def orders_matched(spark: SparkSession, folder: str) -> DataFrame:
+    """Each order next to its faulty form, both rendered; lost ones left out."""
+    df = table(spark, folder, "orders").where(f"not ({LOST})")
+    key, name, val = _faulty(df)
+    sides = df.select(
+        key.alias("left_key"), key.alias("right_key"),
+        F.col("o_orderpriority").alias("name"), _price(F.col("o_totalprice")).alias("val"),
+        name.alias("label"), val.alias("amount"),
+    )
+    return sides.select(
+        "left_key", "right_key",
+        F.array(*field_texts(sides, ["name", "val"])).alias("left_texts"),
+        F.array(*field_texts(sides, ["label", "amount"])).alias("right_texts"),
+    )
+
+
 def event_messages(events: DataFrame) -> DataFrame:
     """Topic-shaped messages of events; the props stay a nested object."""
     text = F.format_string(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +35,11 @@ def build_session(
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="twinrow-")
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run, in the shared folder the cluster names.
 
@@ -43,6 +49,5 @@ def run_folder(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="twinrow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
