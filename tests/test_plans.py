@@ -54,3 +54,11 @@ def test_filters_reach_the_scan(spark):
 
     text = plan(tables.orders(spark, FOLDER).where("name = '1-URGENT'"))
     assert "EqualTo(o_orderpriority,1-URGENT)" in text
+
+
+def test_records_are_parsed_once_per_scan(spark):
+    """No filter below a join renders the key a second time."""
+    for name in ("window_matches", "window_join_pairs", "keep_keys"):
+        text = plan(QUERIES[name](spark, FOLDER))
+        filters = [x for x in text.splitlines() if x.startswith(("Condition", "PushedFilters"))]
+        assert not any("parseJson" in x or "md5" in x for x in filters)

@@ -140,8 +140,12 @@ def key_text(df: DataFrame, key_fields: Sequence[str]) -> Column:
 
 
 def digest(text: Column) -> Column:
-    """Lower-case MD5 hex of a rendered record."""
-    return F.md5(text)
+    """Lower-case MD5 hex of a rendered record.
+
+    A rendering is never null. Saying so keeps a join on the digest from testing
+    it for null, and so from rendering every record once more.
+    """
+    return F.coalesce(F.md5(text), F.lit(""))
 
 
 def record_text(columns: Sequence[str | Column]) -> Column:

@@ -107,7 +107,7 @@ def window_matches(
         F.sum("l").alias("left_rows"), F.sum("r").alias("right_rows")
     )
     met = counts.where("left_rows > 0 and right_rows > 0")
-    return sides[0].unionByName(sides[1]).join(met, GROUP)
+    return sides[0].join(met, GROUP).unionByName(sides[1].join(met, GROUP))
 
 
 def window_pairs(matches: DataFrame) -> DataFrame:
