@@ -34,22 +34,26 @@ def both_sides(left: DataFrame, right: DataFrame, n: str | None = None) -> DataF
     )
 
 
+def fingerprint(text: str) -> list[Column]:
+    """Two 64-bit hashes, ``a`` and ``b``, that stand in for a text.
+
+    Together they are as wide as an MD5. Unlike text they have a fixed width, so
+    an aggregation can keep their extremes in place and needs no sort.
+    """
+    return [F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")]
+
+
 def tally(
-    left: DataFrame, right: DataFrame, on: Sequence[str], value: str, n: str | None = None
+    left: DataFrame, right: DataFrame, on: Sequence[str], text: str, n: str | None = None
 ) -> DataFrame:
     """Rows of each side per key, and whether all rows of the key agree.
 
-    A row stands for one record, or for as many as column ``n`` says.
-    ``value`` holds a digest. Text has no fixed width and would turn the
-    aggregation into a sort, so two 64-bit hashes of the digest stand in for it:
-    all rows agree when the least and the greatest are equal for both.
+    Rows agree when their ``text``, a rendering or its digest, is the same. A row
+    stands for one record, or for as many as column ``n`` says.
     """
     seen = both_sides(
         *[
-            side.select(
-                *on, F.xxhash64(value).alias("a"), F.xxhash64(F.lit(1), value).alias("b"),
-                *([n] if n else []),
-            )
+            side.select(*on, *fingerprint(text), *([n] if n else []))
             for side in (left, right)
         ],
         n=n,
@@ -106,17 +110,17 @@ def mismatch_keys(wide: DataFrame) -> DataFrame:
 
 def _labelled(df: DataFrame, key: str, labels: dict[str, str]) -> DataFrame:
     text = render.render_labelled({label: f"`{c}`" for label, c in labels.items()})
-    return df.select(F.col(f"`{key}`").alias("id"), render.digest(text).alias("digest"))
+    return df.select(F.col(f"`{key}`").alias("id"), text.alias("text"))
 
 
 def mismatch_ids(
     left: DataFrame, right: DataFrame, key: str, labels: dict[str, str]
 ) -> DataFrame:
-    """Ids that both tables hold and whose row digests differ, with row counts.
+    """Ids that both tables hold and whose rendered rows differ, with row counts.
 
     ``labels`` maps the label in the rendered row to its column.
     """
-    found = tally(_labelled(left, key, labels), _labelled(right, key, labels), ["id"], "digest")
+    found = tally(_labelled(left, key, labels), _labelled(right, key, labels), ["id"], "text")
     return found.where("left_rows > 0 and right_rows > 0 and not agree").select(
         "id", "left_rows", "right_rows"
     )
@@ -128,11 +132,15 @@ def mismatch_pairs(
     """Like ``mismatch_ids``, with the number of differing row pairs per id.
 
     Rows with equal ids pair up many to many. The pairs are counted from the
-    copies of each digest and never formed.
+    copies of each row and never formed.
     """
+    sides = [
+        _labelled(side, key, labels).select("id", *fingerprint("text"))
+        for side in (left, right)
+    ]
     copies = (
-        both_sides(_labelled(left, key, labels), _labelled(right, key, labels))
-        .groupBy("id", "digest")
+        both_sides(*sides)
+        .groupBy("id", "a", "b")
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     )
     equal = F.sum(F.when((F.col("l") > 0) & (F.col("r") > 0), F.col("l").cast(PAIRS) * F.col("r")))

@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from twinrow.functions import render
 from twinrow.operators.agreement import both_sides, tally
-from twinrow.operators.hashing import with_key_hash
 from twinrow.session import run_folder
 
 KEYS = ["left_key", "right_key"]
@@ -50,13 +49,15 @@ def keyed(
     key_fields: Sequence[str],
     keep: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """Records with their key hash, without columns the comparison does not need."""
+    """Records with their rendered key, without columns the comparison does not need."""
     if render.VARIANT in df.columns:
         columns = [render.VALUE, render.VARIANT]
     else:
         columns = list(dict.fromkeys([*fields, *key_fields]))
-    return with_key_hash(df, key_fields).select(
-        *keep, "key_hash", *[f"`{c}`" for c in columns]
+    keys = render.render_json(render.field_texts(df, key_fields))
+    # A rendering is never null; saying so spares a join on it the test.
+    return df.select(
+        *keep, F.coalesce(keys, F.lit("")).alias("keys"), *[f"`{c}`" for c in columns]
     )
 
 
@@ -183,11 +184,11 @@ def _counted(
 def differing_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Phase one: keys that both sides hold with differing rows.
 
-    The sides have a digest ``h`` and stand for ``n`` records a row. ``crowded``
-    marks the keys that have several records on both sides.
+    The sides have a rendering ``text`` and stand for ``n`` records a row.
+    ``crowded`` marks the keys that have several records on both sides.
     """
     return (
-        tally(left, right, on, "h", "n")
+        tally(left, right, on, "text", "n")
         .where("left_rows > 0 and right_rows > 0 and not agree")
         .select(*on, F.expr("left_rows > 1 and right_rows > 1").alias("crowded"))
     )
@@ -197,7 +198,7 @@ Sides = tuple[DataFrame, DataFrame]
 
 
 def _two_phases(
-    hashes: Sides,
+    texts: Sides,
     rows_of: Callable[[DataFrame], Sides],
     left_fields: Sequence[str],
     right_fields: Sequence[str],
@@ -205,10 +206,10 @@ def _two_phases(
     keep: Sequence[str],
 ) -> DataFrame:
     """Find the differing keys now, and plan the report over the rows of those."""
-    spark = hashes[0].sparkSession
+    spark = texts[0].sparkSession
     folder = run_folder(spark, "differing-keys")
     seen = Observation()
-    keys = differing_keys(*hashes, on)
+    keys = differing_keys(*texts, on)
     keys.observe(seen, F.max("crowded").alias("crowded")).write.parquet(folder)
     found = spark.read.schema(keys.schema).parquet(folder)
 
@@ -227,21 +228,20 @@ def diff_rendered(
     right: DataFrame,
     left_fields: Sequence[str],
     right_fields: Sequence[str],
-    on: Sequence[str] = ("key_hash",),
+    on: Sequence[str] = ("keys",),
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Report over frames made by ``rendered``. Runs phase one when called."""
     check_fields(left_fields, right_fields)
     sides = (left, right)
-    hashes = tuple(
-        side.select(*on, render.digest(F.concat_ws("|", "texts")).alias("h"), "n")
-        for side in sides
+    texts = tuple(
+        side.select(*on, F.concat_ws("|", "texts").alias("text"), "n") for side in sides
     )
 
     def rows_of(keys: DataFrame) -> Sides:
         return tuple(side.join(keys, list(on), "left_semi") for side in sides)
 
-    return _two_phases(hashes, rows_of, left_fields, right_fields, on, keep)
+    return _two_phases(texts, rows_of, left_fields, right_fields, on, keep)
 
 
 def diff_keyed(
@@ -251,7 +251,7 @@ def diff_keyed(
     right_fields: Sequence[str],
     left_key_fields: Sequence[str],
     right_key_fields: Sequence[str],
-    on: Sequence[str] = ("key_hash",),
+    on: Sequence[str] = ("keys",),
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Report over frames made by ``keyed``. Runs phase one when called.
@@ -261,10 +261,10 @@ def diff_keyed(
     """
     check_fields(left_fields, right_fields)
     sides = ((left, left_fields, left_key_fields), (right, right_fields, right_key_fields))
-    hashes = tuple(
+    texts = tuple(
         df.select(
             *on,
-            render.digest(render.render_json(render.field_texts(df, fields))).alias("h"),
+            render.render_json(render.field_texts(df, fields)).alias("text"),
             F.lit(1).cast("bigint").alias("n"),
         )
         for df, fields, _ in sides
@@ -279,7 +279,7 @@ def diff_keyed(
             kept.append(rendered(rows, fields, key_fields, on))
         return tuple(kept)
 
-    return _two_phases(hashes, rows_of, left_fields, right_fields, on, keep)
+    return _two_phases(texts, rows_of, left_fields, right_fields, on, keep)
 
 
 def diff_report(

@@ -74,7 +74,7 @@ def window_diff(
         keyed(left, left_fields, key_fields, keep=[start]),
         keyed(right, right_fields, right_key_fields, keep=[start]),
         left_fields, right_fields, key_fields, right_key_fields,
-        on=GROUP,
+        on=["window_start", "keys"],
         keep=["window_start"],
     )
 

@@ -88,7 +88,7 @@ def start_window_diff(
     sides = [
         rendered(
             keyed(side.withWatermark(ts, delay), fields, keys, keep=[window]),
-            fields, keys, on=["w", "key_hash"],
+            fields, keys, on=["w", "keys"],
         )
         for side, fields, keys in (
             (left, left_fields, key_fields), (right, right_fields, right_key_fields),
@@ -96,9 +96,9 @@ def start_window_diff(
     ]
     counted = (
         both_sides(*sides, n="n")
-        .groupBy("w", "key_hash", "key", "texts")
+        .groupBy("w", "keys", "key", "texts")
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-        .select(F.col("w.start").alias("window_start"), "key_hash", "key", "texts", "l", "r")
+        .select(F.col("w.start").alias("window_start"), "keys", "key", "texts", "l", "r")
     )
 
     def report(closed: DataFrame, batch_id: int) -> None:
@@ -108,11 +108,11 @@ def start_window_diff(
         records = _batch_folder(f"{path}/records", batch_id)
         closed.write.mode("overwrite").parquet(records)
         table = spark.read.parquet(records)
-        content = ["window_start", "key_hash", "key", "texts"]
+        content = ["window_start", "keys", "key", "texts"]
         sides = [table.where(f"{n} > 0").select(*content, F.col(n).alias("n")) for n in ("l", "r")]
         diff_rendered(
             *sides, left_fields, right_fields,
-            on=["window_start", "key_hash"], keep=["window_start"],
+            on=["window_start", "keys"], keep=["window_start"],
         ).write.mode("overwrite").parquet(_batch_folder(f"{path}/report", batch_id))
 
     writer = (
