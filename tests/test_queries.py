@@ -38,7 +38,6 @@ def test_query_equals_its_sql(spark, oracle, name):
     names = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(names)
     assert by_name(df.columns, got) == by_name(names, cursor.fetchall())
-    assert df.schema == contract.queries()[name](spark, FOLDER).schema
 
 
 def test_entry(spark):
