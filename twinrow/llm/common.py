@@ -107,6 +107,24 @@ def words_of(texts: pa.Array) -> Words:
     return Words(data, place[starts], place[np.flatnonzero(closed)] + 1, first)
 
 
+def by_bytes(
+    batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 4_000_000
+) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of few megabytes of text, which bounds what is held.
+
+    A row is never cut; one of more bytes is a piece of its own.
+    """
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of few rows, which bounds what is held at once."""
     for batch in batches:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinrow.llm import exact, shards, simhash
+from twinrow.llm import exact, pieces, shards, simhash
 from twinrow.llm.common import table
 
 
@@ -14,6 +15,11 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digests(pieces.encoded(table(spark, sf_dir, "documents"), model))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
@@ -23,7 +29,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_shards, op5_simhash, op9_exact_dedup)
+    f.__name__: f for f in (op3_shards, op4_pieces, op5_simhash, op9_exact_dedup)
 }
 
 SQL: dict[str, str] = {

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.llm.common import bounded, settled, slices, words_of
+from twinrow.llm.common import bounded, by_bytes, settled, slices, words_of
 from twinrow.llm.components import components
 from twinrow.llm.xxh64 import xxh64
 
@@ -245,7 +245,7 @@ def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``id`` and ``fp``, the fingerprint as a signed long, of every row."""
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in by_bytes(batches):
             fp = fingerprints_of(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(fp.view(np.int64))], ["id", "fp"]
