@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinrow.llm import exact, pieces, shards, simhash
+from twinrow.llm import exact, leaked_keys, pieces, pii, shards, simhash, spans
 from twinrow.llm.common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return spans.digests(found, pii.KINDS, (), by_start=False)
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(table(spark, sf_dir, "documents"), shards=8)
 
@@ -24,12 +29,17 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_leaked_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaked_keys.secrets(table(spark, sf_dir, "documents"))
+    return spans.digests(found, leaked_keys.BASE, leaked_keys.CONFIRMED, by_start=True)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.marked(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_shards, op4_pieces, op5_simhash, op9_exact_dedup)
+    f.__name__: f for f in (op1_pii, op3_shards, op4_pieces, op5_simhash, op8_leaked_keys, op9_exact_dedup)
 }
 
 SQL: dict[str, str] = {
