@@ -69,13 +69,14 @@ def digests(
 ) -> DataFrame:
     """Counts of the base kinds, a digest of the base spans, and all spans joined."""
     own = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        of_kind = F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))
+        return F.size(of_kind).cast("bigint").alias(f"n_{kind}")
+
     return df.select(
         id_col,
-        *[
-            F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k)))
-            .cast("bigint").alias(f"n_{k}")
-            for k in base
-        ],
+        *[count(k) for k in base],
         F.sha2(joined(own, base, by_start).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans"), [*base, *more], by_start).alias("spans"),
     )
