@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinrow.llm import exact, leaked_keys, pieces, pii, shards, simhash, spans
+from twinrow.llm import exact, leaked_keys, pieces, pii, shards, simhash, spans, toxicity
 from twinrow.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_leaked_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaked_keys.secrets(table(spark, sf_dir, "documents"))
     return spans.digests(found, leaked_keys.BASE, leaked_keys.CONFIRMED, by_start=True)
@@ -39,7 +43,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op3_shards, op4_pieces, op5_simhash, op8_leaked_keys, op9_exact_dedup)
+    f.__name__: f for f in (op1_pii, op3_shards, op4_pieces, op5_simhash, op7_toxicity, op8_leaked_keys, op9_exact_dedup)
 }
 
 SQL: dict[str, str] = {
