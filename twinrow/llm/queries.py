@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinrow.llm import exact, leaked_keys, pieces, pii, shards, simhash, spans, toxicity
+from twinrow.llm import exact, leaked_keys, leaks, pieces, pii, shards, simhash, spans, toxicity
 from twinrow.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.digests(found, pii.KINDS, (), by_start=False)
 
 
+def op2_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(table(spark, sf_dir, "documents"), shards=8)
 
@@ -43,7 +47,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op3_shards, op4_pieces, op5_simhash, op7_toxicity, op8_leaked_keys, op9_exact_dedup)
+    f.__name__: f for f in (op1_pii, op2_leaks, op3_shards, op4_pieces, op5_simhash, op7_toxicity, op8_leaked_keys, op9_exact_dedup)
 }
 
 SQL: dict[str, str] = {
