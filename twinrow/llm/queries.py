@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinrow.llm import exact, leaked_keys, leaks, pieces, pii, shards, simhash, spans, toxicity
+from twinrow.llm import exact, leaked_keys, leaks, pieces, pii, shards, simhash, spans, toxicity, url_rules
 from twinrow.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judged(table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,7 +51,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_leaks, op3_shards, op4_pieces, op5_simhash, op7_toxicity, op8_leaked_keys, op9_exact_dedup)
+    f.__name__: f
+    for f in (
+        op1_pii, op2_leaks, op3_shards, op4_pieces, op5_simhash, op6_url_rules, op7_toxicity,
+        op8_leaked_keys, op9_exact_dedup,
+    )
 }
 
 SQL: dict[str, str] = {
