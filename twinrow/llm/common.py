@@ -45,6 +45,16 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def thinned(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """About ``rows`` rows, those whose hashed key lies in the lowest share of hashes.
+
+    Where there are no more, all. So a following ``limit`` has little to compare.
+    """
+    share = min(1.0, rows / max(df.count(), 1))
+    low = F.pmod(F.xxhash64(key, F.lit(5)), F.lit(1 << 40))
+    return df.where(low < int(share * (1 << 40))) if share < 1 else df
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts and where each begins; nulls are empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

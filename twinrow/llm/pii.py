@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinrow.llm import lstm, spans
-from twinrow.llm.common import by_bytes
+from twinrow.llm.common import by_bytes, thinned
 
 KINDS = ("email", "ip", "card", "phone")
 LENGTH = 64
@@ -235,8 +235,8 @@ def examples(contexts: list[str], seed: int = 0) -> tuple[list[str], np.ndarray]
 
 
 def contexts_of(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> list[str]:
-    """Windows to train on: of every text one at a place that its hash picks, and
-    the first around a trigger; the ``sample`` of lowest hash."""
+    """Windows to train on, at most ``sample``: of about ``sample`` texts, picked by
+    their hash, one at a place that the length picks and the first around a trigger."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
@@ -248,7 +248,8 @@ def contexts_of(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -
                 out += [text[w : w + LENGTH] for w in near + some]
             yield pa.RecordBatch.from_arrays([pa.array([c for c in out if c.strip()], pa.string())], ["cut"])
 
-    cuts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(cut, "cut string")
+    texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
+    cuts = thinned(texts, F.col("text"), sample).mapInArrow(cut, "cut string")
     rows = cuts.orderBy(F.xxhash64("cut"), "cut").limit(sample).collect()
     return [r["cut"] for r in rows]
 

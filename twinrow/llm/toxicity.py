@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.llm.common import by_bytes, words_of
+from twinrow.llm.common import by_bytes, thinned, words_of
 
 #: Category and the condition on a label row that marks it.
 CATEGORIES = (("junk", "quality = 0"), ("toxic", "toxic = 1"))
@@ -174,8 +174,9 @@ def train(
     names = [name for name, _ in categories]
     marks = [F.max(F.expr(says).cast("int")).alias(f"y{k}") for k, (_, says) in enumerate(categories)]
     y = [f"y{k}" for k in range(len(names))]
+    known = labels.where(F.col(f"`{id_col}`").isNotNull())
     chosen = (
-        labels.where(F.col(f"`{id_col}`").isNotNull())
+        thinned(known, F.col(f"`{id_col}`"), 2 * sample)
         .groupBy(F.col(f"`{id_col}`").alias("id")).agg(*marks)
         .orderBy(F.xxhash64("id"), "id").limit(sample)
     )
