@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinrow.llm import exact, leaked_keys, leaks, pieces, pii, shards, simhash, spans, toxicity, url_rules
+from twinrow.llm import (
+    exact, leaked_keys, leaks, maxent, pieces, pii, shards, simhash, spans, toxicity, url_rules,
+)
 from twinrow.llm.common import table
 
 
@@ -50,11 +52,15 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.marked(table(spark, sf_dir, "documents"))
 
 
+def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scored(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii, op2_leaks, op3_shards, op4_pieces, op5_simhash, op6_url_rules, op7_toxicity,
-        op8_leaked_keys, op9_exact_dedup,
+        op8_leaked_keys, op9_exact_dedup, op10_maxent,
     )
 }
 
