@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.llm.common import bounded, by_bytes, settled, slices, words_of
+from twinrow.llm.common import bounded, by_bytes, settled, slices, whole, words_of
 from twinrow.llm.components import components
 from twinrow.llm.xxh64 import xxh64
 
@@ -242,45 +242,53 @@ def linked(nodes: DataFrame, distance: int = DISTANCE, slabs: int | None = None)
 
 
 def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id`` and ``fp``, the fingerprint as a signed long, of every row."""
+    """``id``, ``print``, a hash of the text, and ``fp``, the fingerprint as a signed
+    long, of every row."""
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
             fp = fingerprints_of(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(fp.view(np.int64))], ["id", "fp"]
+                [batch.column("id"), batch.column("print"), pa.array(fp.view(np.int64))],
+                ["id", "print", "fp"],
             )
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"),
-                       F.col(f"`{text_col}`").cast("string").alias("text"))
-    return rows.mapInArrow(prints, "id bigint, fp bigint")
-
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("bigint").alias("id"),
+        F.xxhash64(whole(text_col)).alias("print"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+    )
+    return rows.mapInArrow(prints, "id bigint, print bigint, fp bigint")
 
-def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE
-) -> DataFrame:
-    """Id, fingerprint (16 hex digits) and component of every row.
 
-    The component is the smallest id reachable over links, a row's own included.
-    Rows without an id take part; where nothing else is reached it stays null.
-    """
+def _placed(docs: DataFrame, id_col: str, text_col: str, distance: int) -> DataFrame:
+    """``id``, ``print``, ``fp`` and ``component_id`` of every row."""
     prints = settled(fingerprinted(docs, id_col, text_col), "fingerprints")
-    # A group without any id gets a node of its own, below all real ids only if
-    # those are not as small as the smallest long.
+    # A fingerprint that only rows without an id have gets a node below all ids.
     nodes = settled(
         prints.groupBy("fp").agg(F.min("id").alias("least"))
-        .select("fp", "least", F.coalesce("least", F.lit(-(2**63))).alias("node")),
+        .select("fp", "least", F.coalesce("least", F.xxhash64("fp") % (2**40) - 2**62).alias("node")),
         "fingerprint-nodes",
     )
     found = settled(linked(nodes.select("fp", "node"), distance), "fingerprint-links")
     roots = settled(components(found), "fingerprint-roots")
-    placed = settled(
-        nodes.join(roots, "node", "left")
-        .select("fp", F.coalesce("root", "least").alias("component_id")),
-        "fingerprint-components",
-    )
+    ids = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # The root may be a node without an id, so the least id is taken anew.
+    least = settled(ids.groupBy("root").agg(F.min("least").alias("component_id")), "least-ids")
+    placed = settled(ids.select("fp", "root").join(least, "root"), "fingerprint-components")
+    return prints.join(placed.select("fp", "component_id"), "fp")
+
+
+def near_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE
+) -> DataFrame:
+    """Id, fingerprint (16 hex digits) and component of every row.
+
+    The component is the smallest id reachable over links, a row's own included.
+    Rows without an id take part; where nothing else is reached it is null.
+    """
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return prints.join(placed, "fp").select(
+    return _placed(docs, id_col, text_col, distance).select(
         F.col("id").alias(id_col), hexed.alias("fingerprint"), "component_id"
     )
 
@@ -290,13 +298,16 @@ def representatives(
 ) -> DataFrame:
     """The rows with all columns of one document a component, that of the smallest id.
 
-    Rows without an id cannot be told apart and all stay, as do rows that repeat
-    the staying id.
+    Rows of that id that are linked to each other are one document and all stay;
+    so do rows without an id in a component without any.
     """
-    found = near_groups(docs, id_col, text_col, distance)
+    found = _placed(docs, id_col, text_col, distance)
     gone = settled(
-        found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone"))
-        .distinct(),
+        found.where(~F.col("id").eqNullSafe(F.col("component_id")))
+        .select(F.col("id").alias("__id"), F.col("print").alias("__print")).distinct(),
         "near-duplicates",
     )
-    return docs.join(bounded(gone), docs[id_col] == F.col("__gone"), "left_anti")
+    same = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("__id")) & (
+        F.xxhash64(whole(text_col)) == F.col("__print")
+    )
+    return docs.join(bounded(gone), same, "left_anti")
