@@ -50,24 +50,31 @@ UNITS = (
 def marked_words(text: Column) -> Column:
     """Words of a text; placeholders are a mark followed by their value."""
     # The mark characters themselves are no letters and vanish in the cut.
-    plain = F.translate(text, NAME + NUMBER + UNIT, "   ")
+    marks = F.contains(text, F.lit(NAME)) | F.contains(text, F.lit(NUMBER)) | F.contains(text, F.lit(UNIT))
+    plain = F.when(marks, F.translate(text, NAME + NUMBER + UNIT, "   ")).otherwise(text)
     names = F.regexp_replace(
         plain, r"\p{Lu}(?<=[\p{Ll}\p{Nd},] \p{Lu})\p{Ll}+", NAME + "$0"
     )
-    numbers = F.regexp_replace(F.lower(names), r"\p{Nd}++(?:[.,]\p{Nd}++)*+", f" {NUMBER}$0 ")
-    units = F.regexp_replace(
-        numbers, rf"(?<={NUMBER}[\p{{Nd}}.,]{{1,40}} {{1,2}})(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{Nd}}])",
-        UNIT + "$0",
-    )
-    return F.filter(
-        F.split(units, rf"(?:[^\p{{L}}\p{{M}}\p{{Nd}}{NAME}{NUMBER}{UNIT}.,]|[.,](?!\p{{Nd}}))+"),
-        lambda w: w != "",
+    # One pass marks a number and the unit that may follow; a mark without a unit goes.
+    numbers = F.regexp_replace(
+        F.lower(names),
+        rf"(\p{{Nd}}++(?:[.,]\p{{Nd}}++)*+)(?: ?({'|'.join(UNITS)})(?![\p{{L}}\p{{Nd}}]))?",
+        f" {NUMBER}$1 {UNIT}$2 ",
     )
+    inner = F.regexp_replace(numbers, r"[.,](?!\p{Nd})", " ")
+    words = F.split(inner, rf"[^\p{{L}}\p{{M}}\p{{Nd}}{NAME}{NUMBER}{UNIT}.,]+")
+    return F.filter(words, lambda w: ~w.isin("", UNIT))
 
 
-def _type(word: Column) -> Column:
-    first = F.substring(word, 1, 1)
-    return F.when(first.isin(NAME, NUMBER, UNIT), first).otherwise(word)
+def _with_types(rows: DataFrame) -> DataFrame:
+    """Adds ``types``: a hash of every word, or of its mark alone."""
+    return rows.withColumn(
+        "types",
+        F.transform(
+            "words",
+            lambda w: F.when(w < "\u0005", F.xxhash64(F.substring(w, 1, 1))).otherwise(F.xxhash64(w)),
+        ),
+    )
 
 
 def _windows(rows: DataFrame, size: int, exact: bool) -> DataFrame:
@@ -75,12 +82,11 @@ def _windows(rows: DataFrame, size: int, exact: bool) -> DataFrame:
 
     ``exact`` takes only rows of exactly ``size`` words, otherwise all windows.
     """
-    enough = F.size("words") == size if exact else F.size("words") >= size
-    placed = rows.where(enough).withColumn(
-        "at", F.explode(F.sequence(F.lit(0), F.size("words") - size))
-    )
-    # No array of the window is built before it is known to be a hit.
-    types = [_type(F.col("words")[F.col("at") + k]) for k in range(size)]
+    enough = F.size("types") == size if exact else F.size("types") >= size
+    # A filter would be pushed below and make Spark cut the text twice.
+    places = F.when(enough, F.sequence(F.lit(0), F.size("types") - size))
+    placed = rows.withColumn("at", F.explode(places))
+    types = [F.get("types", F.col("at") + k) for k in range(size)]
     return placed.withColumn("hash", F.xxhash64(F.lit(size), *types))
 
 
@@ -88,9 +94,9 @@ def benchmark_windows(
     benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text"
 ) -> DataFrame:
     """Item, windows it has, and of each window size, hash, place and words."""
-    rows = benchmark.select(
+    rows = _with_types(benchmark.select(
         F.col(f"`{item_col}`").alias("item"), marked_words(whole(text_col)).alias("words")
-    )
+    ))
     every = reduce(
         DataFrame.unionByName,
         [
@@ -117,10 +123,10 @@ def contaminations(
     if hashes.count() <= BROADCAST_ROWS:
         hashes = F.broadcast(hashes)
     text = whole(text_col)
-    rows = docs.select(
+    rows = _with_types(docs.select(
         F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("print"),
         marked_words(text).alias("words"),
-    )
+    ))
     hits = settled(
         reduce(
             DataFrame.unionByName,
