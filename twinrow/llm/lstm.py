@@ -177,7 +177,7 @@ class Tagger:
 
 
 def train(
-    x: np.ndarray, gold: np.ndarray, allowed: np.ndarray, hidden: int = 16, epochs: int = 4,
+    x: np.ndarray, gold: np.ndarray, allowed: np.ndarray, hidden: int = 16, epochs: int = 6,
     batch: int = 64, rate: float = 0.01, seed: int = 0,
 ) -> Tagger:
     """A tagger fitted by Adam to windows ``x`` and their tags."""
