@@ -25,16 +25,14 @@ def brute(left, right):
 
 
 def multiplied_out(report):
-    """Pairs behind a report: its pair rows, and its one-sided rows recombined."""
+    """Pairs behind a report: its left and right values recombined."""
     pairs, lefts, rights = Counter(), {}, {}
     for r in report:
-        lv, rv = (v and v.strip('"') for v in (r.left_value, r.right_value))
-        if lv is not None and rv is not None:
-            pairs[(r.left_key, r.left_field, lv, rv)] += r.left_rows * r.right_rows
-        elif rv is None:
-            lefts.setdefault((r.left_key, r.left_field), {})[lv] = r.left_rows
+        assert (r.left_value is None) != (r.right_value is None)
+        if r.right_value is None:
+            lefts.setdefault((r.left_key, r.left_field), {})[r.left_value.strip('"')] = r.left_rows
         else:
-            rights.setdefault((r.left_key, r.left_field), {})[rv] = r.right_rows
+            rights.setdefault((r.left_key, r.left_field), {})[r.right_value.strip('"')] = r.right_rows
     for group, values in lefts.items():
         for lv, n in values.items():
             for rv, m in rights[group].items():
@@ -52,33 +50,20 @@ def test_report_equals_brute_force(spark, seed, keys, n):
     assert len(report) <= 2 * len(FIELDS) * (len(left) + len(right))
 
 
-def halved(left_fields, right_fields, left, right):
-    """Literal halving of the field lists, as a check of the one-pass form."""
-    if [left[f] for f in left_fields] == [right[f] for f in right_fields]:
-        return []
-    if len(left_fields) == 1:
-        return [(left_fields[0], left[left_fields[0]], right_fields[0], right[right_fields[0]])]
-    cut = len(left_fields) // 2
-    return halved(left_fields[:cut], right_fields[:cut], left, right) + halved(
-        left_fields[cut:], right_fields[cut:], left, right
-    )
-
-
-def test_fields_are_those_found_by_halving(spark):
+def test_pairs_of_renamed_fields_field_by_field(spark):
     pick = random.Random(11)
     names = [f"f{i}" for i in range(7)]
     left = [{"k": str(i), **{f: pick.choice("ab") for f in names}} for i in range(40)]
     right = [{"k": str(i), **{f"r{f}": pick.choice("ab") for f in names}} for i in range(40)]
     renamed = [f"r{f}" for f in names]
-    report = diff.diff_report(
+    report = diff.diff_pairs(
         spark.createDataFrame(left), spark.createDataFrame(right), names, ["k"], renamed
     )
     expected = [
-        (l["k"], *(f'"{x}"' if i % 2 else x for i, x in enumerate(row)))
-        for l, r in zip(left, right) for row in halved(names, renamed, l, r)
+        (l["k"], f, f'"{l[f]}"', f"r{f}", f'"{r[f"r{f}"]}"')
+        for l, r in zip(left, right) for f in names if l[f] != r[f"r{f}"]
     ]
-    got = report.select("left_key", *diff.FIELDS)
-    assert rows(got) == sorted(expected, key=repr)
+    assert rows(report.select("left_key", *diff.FIELDS)) == sorted(expected, key=repr)
 
 
 def test_json_records(records):
@@ -86,8 +71,8 @@ def test_json_records(records):
     right = records(['{"id":1,"name":"a","val":1}', '{"id":2,"name":null}', '{"id":"3"}'])
     got = diff.diff_report(left, right, ["name", "val"], ["id"])
     assert rows(got) == [
-        ("1", "1", "val", "1.0", "val", "1", 1, 1),
-        ("2", "2", "name", '"b"', "name", "null", 1, 1),
+        ("1", "1", "val", "1.0", "val", None, 1, 1), ("1", "1", "val", None, "val", "1", 1, 1),
+        ("2", "2", "name", '"b"', "name", None, 1, 1), ("2", "2", "name", None, "name", "null", 1, 1),
     ]
 
 
@@ -95,14 +80,26 @@ def test_different_key_fields(records):
     got = diff.diff_report(
         records(['{"id":1,"x":"a"}']), records(['{"nr":1,"y":"b"}']), ["x"], ["id"], ["y"], ["nr"]
     )
-    assert rows(got) == [("1", "1", "x", '"a"', "y", '"b"', 1, 1)]
+    assert rows(got) == [
+        ("1", "1", "x", '"a"', "y", None, 1, 1), ("1", "1", "x", None, "y", '"b"', 1, 1),
+    ]
 
 
-def test_one_side_unique_gives_pairs(spark):
+def test_a_repeated_row_changes_counts_only(spark):
     left = spark.createDataFrame([("k", "x", "x", "x")], ROW)
-    right = spark.createDataFrame([("k", "x", "x", "y")] * 3 + [("k", "x", "x", "x")], ROW)
-    got = diff.diff_report(left, right, FIELDS, ["k"])
-    assert rows(got) == [("k", "k", "c", '"x"', "c", '"y"', 1, 1)] * 3
+    rights = [("k", "x", "x", "y")] * 3 + [("k", "x", "x", "x")]
+    got = diff.diff_report(left, spark.createDataFrame(rights, ROW), FIELDS, ["k"])
+    assert rows(got) == [("k", "k", "c", '"x"', "c", None, 1, 3), ("k", "k", "c", None, "c", '"y"', 1, 3)]
+    doubled = diff.diff_report(left.union(left), spark.createDataFrame(rights, ROW), FIELDS, ["k"])
+    assert rows(doubled) == [("k", "k", "c", '"x"', "c", None, 2, 3), ("k", "k", "c", None, "c", '"y"', 2, 3)]
+
+
+def test_pairs_refuse_keys_that_repeat_on_both_sides(spark):
+    one = spark.createDataFrame([("k", "x", "x", "x"), ("l", "x", "x", "x")], ROW)
+    many = spark.createDataFrame([("k", "x", "x", "y")] * 3, ROW)
+    assert rows(diff.diff_pairs(one, many, FIELDS, ["k"])) == [("k", "k", "c", '"x"', "c", '"y"')] * 3
+    with pytest.raises(ValueError, match="1 keys repeat"):
+        diff.diff_pairs(one.union(one), many, FIELDS, ["k"])
 
 
 def test_equal_and_disjoint_sides_give_nothing(spark):

@@ -65,6 +65,29 @@ def json_field(name: str, value: str = VALUE, variant: str = VARIANT) -> Column:
     )
 
 
+def _sorted_maps(c: str, kind: T.DataType, depth: int = 0) -> str:
+    """The value with the entries of its maps in order of their keys, nested ones too.
+
+    A map keeps its entries as they came, so equal maps could print differently.
+    """
+    if isinstance(kind, T.MapType):
+        e = f"e{depth}"
+        value = _sorted_maps(f"{e}.value", kind.valueType, depth + 1)
+        entries = f"transform(array_sort(map_keys({c})), {e}k -> struct({e}k as key, {c}[{e}k] as value))"
+        return f"map_from_entries(transform({entries}, {e} -> struct({e}.key as key, {value} as value)))"
+    if isinstance(kind, T.ArrayType):
+        value = _sorted_maps(f"e{depth}", kind.elementType, depth + 1)
+        return c if value == f"e{depth}" else f"transform({c}, e{depth} -> {value})"
+    if isinstance(kind, T.StructType):
+        parts = [(f.name, f"{c}.{_quoted(f.name)}", f.dataType) for f in kind.fields]
+        sorted_parts = [(n, p, _sorted_maps(p, k, depth)) for n, p, k in parts]
+        if all(p == s for _, p, s in sorted_parts):
+            return c
+        inner = ", ".join(f"{s} as {_quoted(n)}" for n, _, s in sorted_parts)
+        return f"if({c} is null, null, struct({inner}))"
+    return c
+
+
 def column_field(name: str, kind: T.DataType) -> Column:
     """The same rendering for a typed column: quoted text, bare numbers."""
     c = _quoted(name)
@@ -76,18 +99,24 @@ def column_field(name: str, kind: T.DataType) -> Column:
     elif isinstance(kind, (T.NumericType, T.BooleanType)):
         text = f"cast({c} as string)"
     elif isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
-        text = f"to_json({c})"
+        text = f"to_json({_sorted_maps(c, kind)})"
     else:
         text = f"concat('\"', cast({c} as string), '\"')"
     return F.expr(f"if({c} is null, 'null', {text})")
 
 
+def is_records(df: DataFrame) -> bool:
+    """Whether a frame holds JSON records: its column ``v`` is a variant."""
+    return any(f.name == VARIANT and isinstance(f.dataType, T.VariantType) for f in df.schema.fields)
+
+
 def field_texts(df: DataFrame, fields: Sequence[str]) -> list[Column]:
     """``json`` rendering of each field of a JSON record frame or a plain table."""
-    if VARIANT in df.columns:
+    if is_records(df):
         return [json_field(name) for name in fields]
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    return [column_field(name, kinds[name]) for name in fields]
+    # Names are resolved as the session resolves them.
+    own = [df.select(df[_quoted(name)]).schema[0] for name in fields]
+    return [column_field(f.name, f.dataType) for f in own]
 
 
 def render_json(texts: Sequence[Column]) -> Column:
@@ -132,7 +161,7 @@ def render_text(
 
 def key_text(df: DataFrame, key_fields: Sequence[str]) -> Column:
     """Key values as plain text joined by bars, for display."""
-    if VARIANT in df.columns:
+    if is_records(df):
         texts = [_raw(name, VALUE) for name in key_fields]
     else:
         texts = [f"cast({_quoted(name)} as string)" for name in key_fields]

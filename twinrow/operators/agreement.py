@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from twinrow.functions import render
 from twinrow.operators.hashing import with_key_hash
+from twinrow.session import settled
 
 MATCH = "MATCH"
 VALUE_MISMATCH = "VALUE_MISMATCH"
@@ -154,10 +155,10 @@ def mismatch_pairs(
 
 
 def keep_keys(df: DataFrame, keys: DataFrame, key_fields: Sequence[str]) -> DataFrame:
-    """Records whose key hash is in ``keys.key_hash``.
+    """Records whose key hash is in ``keys.key_hash``, which is written when called.
 
-    A plain semi-join: Spark broadcasts the keys when their size allows it and
-    shuffles otherwise.
+    A semi-join with a table of known size: Spark broadcasts the keys when that
+    allows it and otherwise shuffles, splitting a hot key of the records.
     """
     hashed = df if "key_hash" in df.columns else with_key_hash(df, key_fields)
-    return hashed.join(keys.select("key_hash"), "key_hash", "left_semi")
+    return hashed.join(settled(keys.select("key_hash"), "kept-keys"), "key_hash", "left_semi")

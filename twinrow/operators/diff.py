@@ -5,28 +5,32 @@ are paired by position, so their names may differ. Values are in the ``json``
 rendering, so text shows its quotes.
 
 The work has two phases. The first ships only hashes and finds the keys whose
-rows differ; it is written to the shared folder, so that the second can plan
-with its true size. The second goes back to the rows of those keys alone.
-
-Keys with a single row on one side at least are joined, and each pair of rows
-gives one report row per differing field. A key with several rows on both sides
-would multiply: its values are counted instead, and every value that differs
-from some row of the other side gives one row with the other value left null.
-``left_rows`` and ``right_rows`` say how many rows a report row speaks for:
-their product is the number of record pairs, so a crowded key is told once from
-its left values and once from its right ones, in rows linear in its records.
+rows differ, with their rows on both sides; it is written to the shared folder,
+so that the second can plan with its true size. The second goes back to the rows
+of those keys alone, once a side.
+
+``diff_report`` has one form for every key, linear in its records: a row for each
+value of a field that differs from some row of the other side, the other value
+left null. ``left_rows`` and ``right_rows`` say how many rows it speaks for: its
+own copies, and the rows of the other side whose value is another. Their product
+is the number of record pairs, told once from the left values and once from the
+right ones.
+
+``diff_pairs`` has the other form, which the caller must choose: one row for each
+pair of records and differing field. A key that repeats on both sides would
+multiply, so it fails if there is one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinrow.functions import render
 from twinrow.operators.agreement import both_sides, tally
-from twinrow.session import run_folder
+from twinrow.session import settled
 
 KEYS = ["left_key", "right_key"]
 FIELDS = ["left_field", "left_value", "right_field", "right_value"]
@@ -50,7 +54,7 @@ def keyed(
     keep: Sequence[str | Column] = (),
 ) -> DataFrame:
     """Records with their rendered key, without columns the comparison does not need."""
-    if render.VARIANT in df.columns:
+    if render.is_records(df):
         columns = [render.VALUE, render.VARIANT]
     else:
         columns = list(dict.fromkeys([*fields, *key_fields]))
@@ -113,41 +117,39 @@ def field_diff(
     )
 
 
-def _joined(
+def _pairs(
     left: DataFrame, right: DataFrame, on: Sequence[str],
     left_fields: Sequence[str], right_fields: Sequence[str], keep: Sequence[str],
 ) -> DataFrame:
-    pairs = left.withColumnsRenamed(
-        {"key": "left_key", "texts": "left_texts", "n": "left_rows"}
+    """One row a pair and differing field."""
+    pairs = left.drop(*ROWS, "n").withColumnsRenamed(
+        {"key": "left_key", "texts": "left_texts"}
     ).join(
-        right.withColumnsRenamed(
-            {"key": "right_key", "texts": "right_texts", "n": "right_rows"}
-        ),
+        right.drop(*ROWS, "n").withColumnsRenamed({"key": "right_key", "texts": "right_texts"}),
         list(on),
     )
-    return field_diff(pairs, left_fields, right_fields, keep=[*keep, *KEYS, *ROWS]).select(
-        *keep, *REPORT
-    )
+    return field_diff(pairs, left_fields, right_fields, keep=[*keep, *KEYS])
 
 
-def _counted(
+def _values(
     left: DataFrame, right: DataFrame, on: Sequence[str],
     left_fields: Sequence[str], right_fields: Sequence[str], keep: Sequence[str],
 ) -> DataFrame:
-    values = [
-        side.select(*on, "key", F.posexplode("texts").alias("at", "text"), "n")
-        for side in (left, right)
-    ]
+    """One row a value that differs from some row of the other side."""
+    values = both_sides(
+        *[
+            side.select(*on, "key", *ROWS, F.posexplode("texts").alias("at", "text"), "n")
+            for side in (left, right)
+        ],
+        n="n",
+    )
+    # Dealt by value as well as key, so that the values of a hot key spread, and
+    # so that the join below may be split without breaking this aggregation.
     counts = (
-        both_sides(*values, n="n")
-        .groupBy(*on, "key", "at", "text")
+        values.repartition(*on, "at", "text")
+        .groupBy(*on, "key", *ROWS, "at", "text")
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     )
-    # The totals hold one row per key and field. Should a hot key crowd this
-    # join, its partition of counts can be split, as adaptive execution does.
-    totals = counts.groupBy(*on, "at").agg(
-        F.sum("l").alias("all_l"), F.sum("r").alias("all_r")
-    )
     left_name = F.array(*[F.lit(f) for f in left_fields])[F.col("at")]
     right_name = F.array(*[F.lit(f) for f in right_fields])[F.col("at")]
 
@@ -167,12 +169,11 @@ def _counted(
         )
 
     both = F.array(
-        told(F.col("l"), F.col("all_r") - F.col("r"), "left"),
-        told(F.col("r"), F.col("all_l") - F.col("l"), "right"),
+        told(F.col("l"), F.col("right_rows") - F.col("r"), "left"),
+        told(F.col("r"), F.col("left_rows") - F.col("l"), "right"),
     )
     return (
-        counts.join(totals, [*on, "at"])
-        .select(
+        counts.select(
             *keep, F.col("key").alias("left_key"), F.col("key").alias("right_key"),
             F.explode(both).alias("d"),
         )
@@ -182,47 +183,17 @@ def _counted(
 
 
 def differing_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Phase one: keys that both sides hold with differing rows.
+    """Phase one: keys that both sides hold with differing rows, and how many rows.
 
     The sides have a rendering ``text`` and stand for ``n`` records a row.
-    ``crowded`` marks the keys that have several records on both sides.
     """
     return (
         tally(left, right, on, "text", "n")
         .where("left_rows > 0 and right_rows > 0 and not agree")
-        .select(*on, F.expr("left_rows > 1 and right_rows > 1").alias("crowded"))
+        .select(*on, *ROWS)
     )
 
 
-Sides = tuple[DataFrame, DataFrame]
-
-
-def _two_phases(
-    texts: Sides,
-    rows_of: Callable[[DataFrame], Sides],
-    left_fields: Sequence[str],
-    right_fields: Sequence[str],
-    on: Sequence[str],
-    keep: Sequence[str],
-) -> DataFrame:
-    """Find the differing keys now, and plan the report over the rows of those."""
-    spark = texts[0].sparkSession
-    folder = run_folder(spark, "differing-keys")
-    seen = Observation()
-    keys = differing_keys(*texts, on)
-    keys.observe(seen, F.max("crowded").alias("crowded")).write.parquet(folder)
-    found = spark.read.schema(keys.schema).parquet(folder)
-
-    def route(how: Callable[..., DataFrame], crowded: bool) -> DataFrame:
-        chosen = found.where(F.col("crowded") == crowded).select(*on)
-        return how(*rows_of(chosen), on, left_fields, right_fields, keep)
-
-    report = route(_joined, False)
-    if seen.get["crowded"]:
-        report = report.unionByName(route(_counted, True))
-    return report
-
-
 def diff_rendered(
     left: DataFrame,
     right: DataFrame,
@@ -234,14 +205,41 @@ def diff_rendered(
     """Report over frames made by ``rendered``. Runs phase one when called."""
     check_fields(left_fields, right_fields)
     sides = (left, right)
-    texts = tuple(
+    texts = [
         side.select(*on, F.concat_ws("|", "texts").alias("text"), "n") for side in sides
-    )
+    ]
+    found = settled(differing_keys(*texts, on), "differing-keys")
+    rows = [side.join(found, list(on)) for side in sides]
+    return _values(*rows, on, left_fields, right_fields, keep)
+
 
-    def rows_of(keys: DataFrame) -> Sides:
-        return tuple(side.join(keys, list(on), "left_semi") for side in sides)
+def _rows_of_differing_keys(
+    sides: Sequence[tuple[DataFrame, Sequence[str], Sequence[str]]], on: Sequence[str], pairs: bool
+) -> list[DataFrame]:
+    """Phase one now, then the rendered rows of the keys it finds.
 
-    return _two_phases(texts, rows_of, left_fields, right_fields, on, keep)
+    Fields are rendered for display only in rows whose key differs. JSON text is
+    parsed again there, which costs less than moving its parsed form along.
+    """
+    texts = [
+        df.select(
+            *on,
+            render.render_json(render.field_texts(df, fields)).alias("text"),
+            F.lit(1).cast("bigint").alias("n"),
+        )
+        for df, fields, _ in sides
+    ]
+    found = settled(differing_keys(*texts, on), "differing-keys")
+    if pairs and (many := found.where("left_rows > 1 and right_rows > 1").count()):
+        raise ValueError(f"{many} keys repeat on both sides; use diff_report for them")
+    kept = []
+    for df, fields, key_fields in sides:
+        records = render.is_records(df)
+        rows = (df.drop(render.VARIANT) if records else df).join(found, list(on))
+        if records:
+            rows = rows.withColumn(render.VARIANT, render.parse_record())
+        kept.append(rendered(rows, fields, key_fields, [*on, *ROWS]))
+    return kept
 
 
 def diff_keyed(
@@ -253,33 +251,13 @@ def diff_keyed(
     right_key_fields: Sequence[str],
     on: Sequence[str] = ("keys",),
     keep: Sequence[str] = (),
+    pairs: bool = False,
 ) -> DataFrame:
-    """Report over frames made by ``keyed``. Runs phase one when called.
-
-    Fields are rendered for display only in rows whose key differs. JSON text is
-    parsed again there, which costs less than moving its parsed form along.
-    """
+    """Report over frames made by ``keyed``. Runs phase one when called."""
     check_fields(left_fields, right_fields)
     sides = ((left, left_fields, left_key_fields), (right, right_fields, right_key_fields))
-    texts = tuple(
-        df.select(
-            *on,
-            render.render_json(render.field_texts(df, fields)).alias("text"),
-            F.lit(1).cast("bigint").alias("n"),
-        )
-        for df, fields, _ in sides
-    )
-
-    def rows_of(keys: DataFrame) -> Sides:
-        kept = []
-        for df, fields, key_fields in sides:
-            rows = df.drop(render.VARIANT).join(keys, list(on), "left_semi")
-            if render.VARIANT in df.columns:
-                rows = rows.withColumn(render.VARIANT, render.parse_record())
-            kept.append(rendered(rows, fields, key_fields, on))
-        return tuple(kept)
-
-    return _two_phases(texts, rows_of, left_fields, right_fields, on, keep)
+    rows = _rows_of_differing_keys(sides, on, pairs)
+    return (_pairs if pairs else _values)(*rows, on, left_fields, right_fields, keep)
 
 
 def diff_report(
@@ -299,3 +277,25 @@ def diff_report(
         keyed(right, right_fields, right_key_fields),
         left_fields, right_fields, key_fields, right_key_fields,
     )
+
+
+def diff_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    left_fields: Sequence[str],
+    key_fields: Sequence[str],
+    right_fields: Sequence[str] | None = None,
+    right_key_fields: Sequence[str] | None = None,
+) -> DataFrame:
+    """Differing fields of every pair of records with equal keys.
+
+    Fails, with their number, if keys repeat on both sides with differing rows.
+    """
+    right_fields = right_fields or left_fields
+    right_key_fields = right_key_fields or key_fields
+    check_fields(left_fields, right_fields)
+    return diff_keyed(
+        keyed(left, left_fields, key_fields),
+        keyed(right, right_fields, right_key_fields),
+        left_fields, right_fields, key_fields, right_key_fields, pairs=True,
+    )

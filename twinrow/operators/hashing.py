@@ -26,7 +26,7 @@ def _renderings(
         keys = F.concat_ws(
             "|", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("null")) for k in key_fields]
         )
-        return keys, render.render_labelled({f.capitalize(): f"`{f}`" for f in fields})
+        return keys, render.render_labelled({f[:1].upper() + f[1:]: f"`{f}`" for f in fields})
     raise ValueError(f"unknown rendering: {mode!r}")
 
 

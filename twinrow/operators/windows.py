@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.functions.render import VARIANT
+from twinrow.functions.render import VARIANT, is_records
 from twinrow.operators.agreement import both_sides
 from twinrow.operators.diff import check_fields, diff_keyed, keyed
 from twinrow.operators.hashing import with_key_hash
+from twinrow.session import settled
 
 WIDTH = "30 seconds"
 GROUP = ["window_start", "key_hash"]
 
 
+def _record(df: DataFrame) -> Column:
+    """All columns of a row, without the parsed form of a JSON record."""
+    drop = VARIANT if is_records(df) else None
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c != drop])
+
+
 def _in_window(
     df: DataFrame, key_fields: Sequence[str], ts: str, width: str, delay: str | None, name: str
 ) -> DataFrame:
@@ -23,7 +30,7 @@ def _in_window(
         if delay is None:
             raise ValueError("a stream needs a watermark delay, or its state never expires")
         df = df.withWatermark(ts, delay)
-    record = F.struct(*[c for c in df.columns if c != VARIANT]).alias(name)
+    record = _record(df).alias(name)
     return with_key_hash(df, key_fields).select("key_hash", F.window(ts, width).alias("w"), record)
 
 
@@ -91,13 +98,13 @@ def window_matches(
 
     This is the window join before its pairs are multiplied out: each record
     appears once, and the pairs of a window and key are all its left records
-    with all its right ones.
+    with all its right ones. Which windows and keys meet is found when called.
     """
     sides = [
         with_key_hash(side, keys).select(
             F.window(ts, width)["start"].alias("window_start"), "key_hash",
             F.lit(tag).alias("side"),
-            F.struct(*[c for c in side.columns if c != VARIANT]).alias("record"),
+            _record(side).alias("record"),
         )
         for tag, side, keys in (
             ("LEFT", left, key_fields), ("RIGHT", right, right_key_fields or key_fields),
@@ -106,31 +113,23 @@ def window_matches(
     counts = both_sides(*[side.select(*GROUP) for side in sides]).groupBy(*GROUP).agg(
         F.sum("l").alias("left_rows"), F.sum("r").alias("right_rows")
     )
-    met = counts.where("left_rows > 0 and right_rows > 0")
-    return sides[0].join(met, GROUP).unionByName(sides[1].join(met, GROUP))
+    met = settled(counts.where("left_rows > 0 and right_rows > 0"), "met-keys")
+    return sides[0].unionByName(sides[1]).join(met, GROUP)
 
 
 def window_pairs(matches: DataFrame) -> DataFrame:
-    """The pairs behind ``window_matches``, in rows linear in the records.
+    """The pairs behind ``window_matches``, told record by record.
 
-    Where a window and key has one record on a side, each pair is a row. Where
-    it is crowded on both, each record is a row of its own, the other half left
-    null. ``left_rows`` and ``right_rows`` say how many records a row speaks for.
+    Each record is a row of its own with the other half left null. ``left_rows``
+    and ``right_rows`` say how many records it speaks for: itself, and all the
+    records of the other side that it meets.
     """
-    crowded = F.least("left_rows", "right_rows") > 1
     one = F.lit(1).cast("bigint")
-    few = matches.where(~crowded)
     lone = F.col("side") == "LEFT"
-    pairs = (
-        few.where(lone).select(*GROUP, F.col("record").alias("left"))
-        .join(few.where(~lone).select(*GROUP, F.col("record").alias("right")), GROUP)
-        .withColumns({"left_rows": one, "right_rows": one})
-    )
-    alone = matches.where(crowded).select(
+    return matches.select(
         *GROUP,
         F.when(lone, F.col("record")).alias("left"),
         F.when(~lone, F.col("record")).alias("right"),
         F.when(lone, one).otherwise(F.col("left_rows")).alias("left_rows"),
         F.when(lone, F.col("right_rows")).otherwise(one).alias("right_rows"),
     )
-    return pairs.unionByName(alone)

@@ -116,44 +116,35 @@ cl as (select * from sides where event_type = 'click'),
 vi as (select * from sides where event_type = 'view')"""
 
 
-def _report_sql(group: str, extra: str) -> str:
-    """Report of clicks against views: pairs for keys with one row on a side,
-    one-sided rows for crowded keys. ``group`` is the key, ``extra`` what to show."""
-    names = "[" + ", ".join(f"'{n}'" for n in DIFF_FIELDS) + "]"
-    on = " and ".join(f"a.{g} = b.{g}" for g in group.split(", "))
-    using = f"using ({group})"
+def _report_sql(sides: str, group: str, extra: str, names: list[str]) -> str:
+    """Report of the tables ``cl`` and ``vi``, whose column ``f`` lists the rendered
+    fields. ``group`` is the key, ``extra`` what to show before it."""
+    shown = "[" + ", ".join(f"'{n}'" for n in names) + "]"
     return f"""
-with {EVENT_SIDES},
-sizes as (select {group}, ln, rn from
-   (select {group}, count(*) as ln from cl group by {group}) join
-   (select {group}, count(*) as rn from vi group by {group}) {using}),
-lx as (select {group}, unnest(f) as t, unnest(range(1, {len(DIFF_FIELDS)} + 1)) as pos
-       from cl join sizes {using} where ln > 1 and rn > 1),
-rx as (select {group}, unnest(f) as t, unnest(range(1, {len(DIFF_FIELDS)} + 1)) as pos
-       from vi join sizes {using} where ln > 1 and rn > 1),
+with {sides},
+lx as (select {group}, unnest(f) as t, unnest(range(1, {len(names) + 1})) as pos from cl),
+rx as (select {group}, unnest(f) as t, unnest(range(1, {len(names) + 1})) as pos from vi),
 ln as (select {group}, pos, t, count(*) as n from lx group by all),
 rn as (select {group}, pos, t, count(*) as n from rx group by all),
 la as (select {group}, pos, sum(n) as n from ln group by all),
-ra as (select {group}, pos, sum(n) as n from rn group by all),
-pairs as (select a.*, b.f as bf from cl a join vi b on {on} join sizes s
-   on {on.replace('b.', 's.')} where s.ln = 1 or s.rn = 1),
-fields as (select {extra} k, f, bf, unnest(range(1, {len(DIFF_FIELDS)} + 1)) as pos from pairs)
-select {extra} k as left_key, k as right_key, {names}[pos] as left_field, f[pos] as left_value,
-  {names}[pos] as right_field, bf[pos] as right_value,
-  cast(1 as bigint) as left_rows, cast(1 as bigint) as right_rows
-from fields where f[pos] <> bf[pos]
-union all
-select {extra} k, k, {names}[pos], t, {names}[pos], null,
-  cast(ln.n as bigint), cast(ra.n - coalesce(rn.n, 0) as bigint)
+ra as (select {group}, pos, sum(n) as n from rn group by all)
+select {extra} k as left_key, k as right_key, {shown}[pos] as left_field, t as left_value,
+  {shown}[pos] as right_field, null as right_value,
+  cast(ln.n as bigint) as left_rows, cast(ra.n - coalesce(rn.n, 0) as bigint) as right_rows
 from ln join ra using ({group}, pos) left join rn using ({group}, pos, t)
 where ra.n - coalesce(rn.n, 0) > 0
 union all
-select {extra} k, k, {names}[pos], null, {names}[pos], t,
+select {extra} k, k, {shown}[pos], null, {shown}[pos], t,
   cast(la.n - coalesce(ln.n, 0) as bigint), cast(rn.n as bigint)
 from rn join la using ({group}, pos) left join ln using ({group}, pos, t)
 where la.n - coalesce(ln.n, 0) > 0"""
 
 
+ORDER_SIDES = ORDERS + """,
+cl as (select id as k, ['"' || name || '"', '"' || val || '"'] as f from l),
+vi as (select id as k, ['"' || name || '"', '"' || val || '"'] as f from r)"""
+
+
 # ------------------------------------------------------------ keys that differ
 
 
@@ -280,16 +271,19 @@ def field_diff(spark: SparkSession, folder: str) -> DataFrame:
     return diff.field_diff(pairs, ["name", "val"], ["label", "amount"])
 
 
-@query(f"""
-with {ORDERS}
-select *, cast(1 as bigint) as left_rows, cast(1 as bigint) as right_rows
-from ({_fields_sql(['name', 'val'])})""")
+@query(_report_sql(ORDER_SIDES, "k", "", ["name", "val"]))
 def diff_report(spark: SparkSession, folder: str) -> DataFrame:
-    """No id repeats on both sides here, so every key goes by pairs."""
+    """Orders against their copy, where some ids have several rows on one side."""
     return diff.diff_report(*_both_orders(spark, folder), ["name", "val"], ["id"])
 
 
-@query(_report_sql("k", ""))
+@query(f"with {ORDERS} {_fields_sql(['name', 'val'])}")
+def diff_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by pairs, as no id repeats on both sides."""
+    return diff.diff_pairs(*_both_orders(spark, folder), ["name", "val"], ["id"])
+
+
+@query(_report_sql(EVENT_SIDES, "k", "", DIFF_FIELDS))
 def diff_report_crowded(spark: SparkSession, folder: str) -> DataFrame:
     """Clicks against views by user, where nearly every key repeats on both sides."""
     return diff.diff_report(*_clicks_and_views(spark, folder), DIFF_FIELDS, ["user_id"])
@@ -517,20 +511,14 @@ def window_matches(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-with {MATCHES},
-few as (select * from m where least(ln, rn) = 1)
-select a.window_start, a.key_hash, a.text as left_value, b.text as right_value,
-  cast(1 as bigint) as left_rows, cast(1 as bigint) as right_rows
-from few a join few b on a.k = b.k and a.w = b.w
-where a.event_type = 'click' and b.event_type = 'view'
-union all
-select window_start, key_hash, case when event_type = 'click' then text end,
-  case when event_type = 'view' then text end,
-  case when event_type = 'click' then 1 else ln end,
-  case when event_type = 'click' then rn else 1 end
-from m where least(ln, rn) > 1""")
+with {MATCHES}
+select window_start, key_hash, case when event_type = 'click' then text end as left_value,
+  case when event_type = 'view' then text end as right_value,
+  case when event_type = 'click' then 1 else ln end as left_rows,
+  case when event_type = 'click' then rn else 1 end as right_rows
+from m""")
 def window_join_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Pairs of the window join; crowded windows and keys record by record."""
+    """The pairs of the window join, told record by record."""
     matches = windows.window_matches(
         *_clicks_and_views(spark, folder), ["user_id"], width=HOUR
     )
@@ -541,7 +529,7 @@ def window_join_pairs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-WINDOW_REPORT_SQL = _report_sql("k, w", "w,")
+WINDOW_REPORT_SQL = _report_sql(EVENT_SIDES, "k, w", "w,", DIFF_FIELDS)
 
 
 def _window_report_sql(closed: str = "") -> str:

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -51,3 +51,14 @@ def run_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read back.
+
+    A join with them is planned by their true size, and as they come from a scan
+    rather than an aggregation, Spark can split a hot key of the other side.
+    """
+    folder = run_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
