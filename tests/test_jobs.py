@@ -95,6 +95,16 @@ def test_hash_topic(spark, folder, broker):
     assert json.loads(lines(spark, f"{folder}/out-text")[0])["keys"] == "id|null|name|a|val|x|"
 
 
+def test_hash_topic_with_bad_records_and_envelope(spark, folder, broker):
+    broker("bad", ('{"id":1}', 0), ("{", 0))
+    settle(jobs.hash_topic(spark, "host", "bad", "out-bad", f"{folder}/check-bad", strict=False))
+    assert [json.loads(x)["keys"] for x in lines(spark, f"{folder}/out-bad")] == ["1|", "malformed:{|"]
+    broker("env", ('{"id":1}', 0))
+    settle(jobs.hash_topic(spark, "host", "env", "out-env", f"{folder}/check-env", envelope=True,
+                           fields=["value"], key_fields=["value"]))
+    assert json.loads(lines(spark, f"{folder}/out-env")[0])["keys"] == '{"id":1}|'
+
+
 def test_reconcile_topics(spark, folder, broker):
     broker("l", ('{"id":1,"name":"a","val":"x"}', 0), ('{"id":2,"name":"a","val":"x"}', 0))
     broker("r", ('{"id":1,"name":"a","val":"x"}', 0), ('{"id":2,"name":"a","val":"y"}', 0))
@@ -111,5 +121,6 @@ def test_report_topics(spark, folder, broker):
     settle(jobs.report_topics(spark, "host", "l", "r", f"{folder}/rep", f"{folder}/check"))
     got = running.window_report(spark, f"{folder}/rep")
     assert rows(got.select("left_key", "left_field", "left_value", "right_value")) == [
-        ("1", "name", '"a"', '"b"'), ("1", "val", '"x"', '"y"'),
+        ("1", "name", '"a"', None), ("1", "name", None, '"b"'),
+        ("1", "val", '"x"', None), ("1", "val", None, '"y"'),
     ]

@@ -151,3 +151,17 @@ def test_typed_text_is_escaped_as_in_json(spark):
     assert [r[1] for r in got] == [json.dumps(t, ensure_ascii=False) for t in texts[:5]] + [
         '"\\u0001\\u001F"', '"\x7f\u2028é"', '"a/b|c"', '"x0"',
     ]
+
+
+def test_maps_print_in_order_of_their_keys(spark):
+    df = spark.sql(
+        "select map('b', 2, 'a', 1) as m, array(map('y', map(2, 0, 1, 0))) as n, named_struct('x', map('d', 1, 'c', 2)) as s"
+    )
+    assert df.select(*render.field_texts(df, ["m", "n", "s"])).first()[:] == (
+        '{"a":1,"b":2}', '[{"y":{"1":0,"2":0}}]', '{"x":{"c":2,"d":1}}',
+    )
+
+
+def test_a_text_column_named_like_the_parsed_form_is_plain(spark):
+    df = spark.createDataFrame([("k", "x")], "Id string, v string")
+    assert df.select(*render.field_texts(df, ["id", "v"])).first()[:] == ('"k"', '"x"')

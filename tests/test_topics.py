@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from twinrow.functions import render
-from twinrow.operators import hashing
+from twinrow.operators import agreement, hashing
 from twinrow.sources import topics
 
 MESSAGE = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
@@ -46,6 +46,20 @@ def test_malformed_fails_or_is_marked(spark):
     ]
 
 
+def test_malformed_records_agree_only_by_their_text(spark):
+    left = messages(spark, (None, "{bad left"), (None, "{same"), (None, '{"id":1,"name":"a"}'))
+    right = messages(spark, (None, "{bad right"), (None, "{same"), (None, '{"id":1,"name":"a"}'))
+    sides = [topics.decode_json(s, strict=False) for s in (left, right)]
+    hashed = [hashing.hash_rows(s, ["id", "name"], ["id"]) for s in sides]
+    assert sorted(r.status for r in agreement.classify(*hashed).collect()) == [
+        "LEFT_ONLY", "MATCH", "MATCH", "RIGHT_ONLY",
+    ]
+    good, bad = topics.split_malformed(sides[0])
+    assert (good.count(), rows(bad.select("value"))) == (1, [("{bad left",), ("{same",)])
+    texts = [hashing.hash_rows(s, ["id"], ["id"], mode="text") for s in sides]
+    assert len({r.value_hash for t in texts for r in t.collect()}) == 4
+
+
 def test_encode(spark):
     records = topics.decode_json(messages(spark, (None, '{"id":1,"name":"a","val":"x"}')))
     tagged = hashing.hash_rows(records, ["id", "name", "val"], ["id"], "LEFT", 1, 2)

@@ -11,7 +11,7 @@ text matters. There are three renderings:
               a string prints nothing.
 
 JSON records are held as two columns: the text as received and the same parsed
-once to a variant. All functions return plain column expressions.
+once to a variant, which is null if the text is malformed. All functions return plain column expressions.
 """
 
 from __future__ import annotations
@@ -45,6 +45,14 @@ def _raw(name: str, value: str) -> str:
     return f"get_json_object({_quoted(value)}, '$[\\'{_check_name(name)}\\']')"
 
 
+def _malformed(value: str) -> str:
+    """What a record that is no JSON prints for any field: its whole text, marked.
+
+    So two of them agree only if their texts do. No JSON text begins like this.
+    """
+    return f"concat('malformed:', coalesce({_quoted(value)}, ''))"
+
+
 def parse_record(value: str | Column = VALUE, strict: bool = True) -> Column:
     """Parse JSON text to a variant; malformed text fails or gives null."""
     return F.parse_json(value) if strict else F.try_parse_json(value)
@@ -58,7 +66,8 @@ def json_field(name: str, value: str = VALUE, variant: str = VARIANT) -> Column:
     """
     part = _part(name, variant)
     return F.expr(
-        f"""case when schema_of_variant({part}) in ('STRING', 'BIGINT', 'BOOLEAN')
+        f"""case when {_quoted(variant)} is null then {_malformed(value)}
+            when schema_of_variant({part}) in ('STRING', 'BIGINT', 'BOOLEAN')
               then to_json({part})
             when coalesce(schema_of_variant({part}), 'VOID') = 'VOID' then 'null'
             else coalesce({_raw(name, value)}, 'null') end"""
@@ -153,7 +162,10 @@ def render_text(
     for name in fields:
         kind = f"schema_of_variant({_part(name, variant)})"
         other = f"when {kind} is not null then 'null' else ''" if key else "else ''"
-        text = F.expr(f"case when {kind} = 'STRING' then {_raw(name, value)} {other} end")
+        text = F.expr(
+            f"case when {_quoted(variant)} is null then {_malformed(value)} "
+            f"when {kind} = 'STRING' then {_raw(name, value)} {other} end"
+        )
         parts += [F.lit(f"{name}|"), text] if key else [text]
         parts.append(F.lit("|"))
     return F.concat(*parts)
@@ -162,7 +174,10 @@ def render_text(
 def key_text(df: DataFrame, key_fields: Sequence[str]) -> Column:
     """Key values as plain text joined by bars, for display."""
     if is_records(df):
-        texts = [_raw(name, VALUE) for name in key_fields]
+        texts = [
+            f"if({_quoted(VARIANT)} is null, {_malformed(VALUE)}, {_raw(name, VALUE)})"
+            for name in key_fields
+        ]
     else:
         texts = [f"cast({_quoted(name)} as string)" for name in key_fields]
     return F.expr(f"concat_ws('|', {', '.join(f'coalesce({t}, \'null\')' for t in texts)})")

@@ -1,6 +1,7 @@
 """The jobs of a user: from sources through operators to sinks.
 
-Batch jobs print their result when no output path is given.
+Batch jobs write whole results to their output path. Without one they print the
+first rows as a preview, with the number of all rows.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def _emit(df: DataFrame, output: str | None, write=sinks.write_text, **options:
     if output:
         write(df, output, **options)
     else:
-        sinks.show(df)
+        sinks.preview(df)
 
 
 def compare_csv(
@@ -64,7 +65,7 @@ def _clean(
     else:
         # Showing rows stops early, and the counts must cover all of them.
         clean.write.format("noop").mode("overwrite").save()
-        sinks.show(drop_blank(rows, columns, rule))
+        sinks.preview(drop_blank(rows, columns, rule))
     return {"kept": kept.get["n"], "blanks": [blanks.get[c] for c in columns]}
 
 
@@ -94,9 +95,14 @@ def count_words(
 def hash_topic(
     spark: SparkSession, servers: str, topic: str, out_topic: str, checkpoint: str,
     mode: str = "json", fields: Sequence[str] = FIELDS, key_fields: Sequence[str] = KEY_FIELDS,
+    envelope: bool = False, strict: bool = True,
 ) -> StreamingQuery:
-    """Hash the records of a topic, in the ``json`` or the ``text`` rendering."""
-    records = topics.read_json_topic(spark, servers, topic)
+    """Hash the records of a topic, in the ``json`` or the ``text`` rendering.
+
+    With ``envelope`` a record is an object of the message key and value. Without
+    ``strict`` malformed records are hashed by their whole text.
+    """
+    records = topics.read_json_topic(spark, servers, topic, envelope, strict)
     hashed = hash_rows(records, fields, key_fields, mode=mode)
     return topics.write_json_topic(topics.encode_hashes(hashed), servers, out_topic, checkpoint)
 
@@ -105,9 +111,15 @@ def reconcile_topics(
     spark: SparkSession, servers: str, left_topic: str, right_topic: str, out_topic: str,
     path: str, checkpoint: str, fields: Sequence[str] = FIELDS,
     key_fields: Sequence[str] = KEY_FIELDS, case_id: int = 1, run_id: int = 1,
+    strict: bool = True,
 ) -> tuple[StreamingQuery, StreamingQuery]:
-    """Hash two topics, pass the hash records on and keep what is outstanding."""
-    left, right = (topics.read_json_topic(spark, servers, t) for t in (left_topic, right_topic))
+    """Hash two topics, pass the hash records on and keep what is outstanding.
+
+    Without ``strict`` malformed records take part by their whole text.
+    """
+    left, right = (
+        topics.read_json_topic(spark, servers, t, strict=strict) for t in (left_topic, right_topic)
+    )
     hashed = hash_both(left, right, fields, key_fields, case_id, run_id)
     passed = topics.write_json_topic(
         topics.encode_hashes(hashed), servers, out_topic, f"{checkpoint}/passed"
@@ -120,9 +132,15 @@ def report_topics(
     path: str, checkpoint: str, left_fields: Sequence[str] = FIELDS,
     right_fields: Sequence[str] = FIELDS, key_fields: Sequence[str] = KEY_FIELDS,
     right_key_fields: Sequence[str] | None = None, width: str = WIDTH, delay: str = WIDTH,
+    strict: bool = True,
 ) -> StreamingQuery:
-    """Report the differing fields of two topics, window by window."""
-    left, right = (topics.read_json_topic(spark, servers, t) for t in (left_topic, right_topic))
+    """Report the differing fields of two topics, window by window.
+
+    Without ``strict`` malformed records take part by their whole text.
+    """
+    left, right = (
+        topics.read_json_topic(spark, servers, t, strict=strict) for t in (left_topic, right_topic)
+    )
     return start_window_diff(
         left, right, left_fields, key_fields, path, checkpoint, width=width, delay=delay,
         right_fields=right_fields, right_key_fields=right_key_fields,

@@ -25,7 +25,7 @@ SQL: dict[str, str] = {}
 HOUR = "1 hour"
 DELAY = "10 minutes"
 DIFF_FIELDS = ["event_id", "event_type", "props"]
-DOC_COLUMNS = ["lang", "quality", "gaps"]
+DOC_COLUMNS = ["lang", "quality", "body"]
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -349,6 +349,26 @@ def row_hashes_text(spark: SparkSession, folder: str) -> DataFrame:
     return _event_hashes(spark, folder, "text")
 
 
+@query(f"""
+with {EVENTS}, t as (select event_type = 'view' as malformed,
+  case when event_type = 'view' then substr(text, 1, length(text) - 1) else text end as value,
+  case when event_type = 'view' then 'malformed:' || substr(text, 1, length(text) - 1) || '|'
+    else {_event_row(['event_id'])} end as keys from ev)
+select value, malformed, keys, md5(keys) as key_hash from t""")
+def malformed_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of which those of one type were cut short, marked and hashed by their text."""
+    messages = tables.event_messages(tables.table(spark, folder, "events"))
+    text = F.col("value").cast("string")
+    cut = F.when(text.contains('"event_type":"view"'), F.substring(text, F.lit(1), F.length(text) - 1))
+    records = topics.decode_json(
+        messages.withColumn("value", F.coalesce(cut, text).cast("binary")), strict=False
+    )
+    keys = render.render_json(render.field_texts(records, ["event_id"]))
+    return records.select(
+        "value", "malformed", keys.alias("keys"), render.digest(keys).alias("key_hash")
+    )
+
+
 @query(f"with {ORDERS} select id as keys, md5(id) as key_hash, {LABELLED} as value_hash from r")
 def row_hashes_labelled(spark: SparkSession, folder: str) -> DataFrame:
     return hashing.hash_rows(
@@ -393,9 +413,8 @@ def sort_partitions(spark: SparkSession, folder: str) -> DataFrame:
 
 DOCUMENTS = r"""
 docs as (select doc_id, lang, cast(quality as varchar) as quality,
-  replace(regexp_replace(text, '\S+', '', 'g'), ' ',
-    case lang when 'fr' then chr(8195) when 'de' then chr(1) when 'es' then chr(160)
-      else ' ' end) as gaps
+  case when n_chars % 7 = 0 then repeat(case lang when 'fr' then chr(8195) when 'de' then chr(1)
+    when 'es' then chr(160) else ' ' end, 3) else text end as body
   from documents left join labels using (doc_id))"""
 BLANK = {
     "trim": r"[\x00-\x20]*",
@@ -435,18 +454,18 @@ def blank_profile_unicode(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(_kept_sql("trim", "doc_id, lang, quality, md5(gaps) as gaps_md5"))
+@query(_kept_sql("trim", "doc_id, lang, quality, md5(body) as body_md5"))
 def drop_blank_trim(spark: SparkSession, folder: str) -> DataFrame:
     return profile.drop_blank(
         tables.labelled_documents(spark, folder), DOC_COLUMNS, "trim"
-    ).select("doc_id", "lang", "quality", F.md5("gaps").alias("gaps_md5"))
+    ).select("doc_id", "lang", "quality", F.md5("body").alias("body_md5"))
 
 
-@query(_kept_sql("unicode", "doc_id, lang, quality, md5(gaps) as gaps_md5"))
+@query(_kept_sql("unicode", "doc_id, lang, quality, md5(body) as body_md5"))
 def drop_blank_unicode(spark: SparkSession, folder: str) -> DataFrame:
     return profile.drop_blank(
         tables.labelled_documents(spark, folder), DOC_COLUMNS, "unicode"
-    ).select("doc_id", "lang", "quality", F.md5("gaps").alias("gaps_md5"))
+    ).select("doc_id", "lang", "quality", F.md5("body").alias("body_md5"))
 
 
 @query(_kept_sql("unicode", "count(*) as n"))

@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def read_csv_rows(
-    spark: SparkSession, path: str | list[str], columns: Sequence[str], sep: str = ","
+    spark: SparkSession, path: str | list[str], columns: Sequence[str], sep: str = ",",
+    line_sep: str = "\n",
 ) -> DataFrame:
     """CSV without header or quoting, all columns text.
 
-    Rows with too many or too few fields fail the read. An empty field is an
-    empty text, never null, since a digest tells the two apart.
+    Every line is a row, also an empty one; lines end at ``line_sep`` alone, so a
+    carriage return before it belongs to the last field. A line with too many or
+    too few fields fails the read. An empty field is an empty text, never null,
+    since a digest tells the two apart.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = (
-        spark.read.schema(schema)
-        .options(header=False, sep=sep, quote="", mode="FAILFAST")
-        .csv(path)
+    lines = spark.read.option("lineSep", line_sep).text(path)
+    fields = F.split("value", re.escape(sep), -1)
+    message = F.format_string(
+        f"expected {len(columns)} fields, found %d: %s", F.size("fields"), F.col("value")
     )
-    return rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
+    checked = F.when(F.size("fields") == len(columns), F.col("fields")).otherwise(
+        F.raise_error(message)
+    )
+    rows = lines.select("value", fields.alias("fields")).select(checked.alias("fields"))
+    return rows.select(*[F.col("fields")[i].alias(c) for i, c in enumerate(columns)])
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:

@@ -32,11 +32,16 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.select(F.concat_ws(sep, *fields).alias("value")).write.text(path)
 
 
-def show(df: DataFrame, rows: int = 20) -> None:
-    """Print the first rows of a batch frame."""
+def preview(df: DataFrame, rows: int = 20) -> None:
+    """Print the first rows of a batch frame and how many there are in all.
+
+    A look at a result, not an output: ``write_text`` and ``write_csv`` write all.
+    """
+    total = df.count()
     df.show(rows, truncate=False)
+    print(f"{min(rows, total)} of {total} rows")
 
 
 def show_stream(df: DataFrame, mode: str = "append") -> StreamingQuery:
-    """Print each batch of a stream."""
+    """Print the first rows of each batch of a stream, as a preview."""
     return df.writeStream.format("console").outputMode(mode).option("truncate", False).start()

@@ -29,7 +29,8 @@ def decode_json(messages: DataFrame, envelope: bool = False, strict: bool = True
 
     With ``envelope`` the record is an object of the message key and value.
     Malformed records fail the job. Without ``strict`` they are kept, with
-    ``malformed`` set.
+    ``malformed`` set, and render as their whole text, so that they agree only with
+    a record of the same text. ``split_malformed`` takes them out.
     """
     text = F.col("value").cast("string")
     if envelope:
@@ -49,6 +50,14 @@ def decode_json(messages: DataFrame, envelope: bool = False, strict: bool = True
     return records.withColumn("malformed", F.col("v").isNull())
 
 
+def split_malformed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The records that are JSON, and the text and time of those that are not."""
+    return (
+        records.where("not malformed").drop("malformed"),
+        records.where("malformed").drop("malformed", "v"),
+    )
+
+
 def read_json_topic(
     spark: SparkSession, servers: str, topic: str, envelope: bool = False,
     strict: bool = True, **options: str,
