@@ -64,6 +64,62 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+def _url_sql() -> str:
+    """The URL filter in SQL, rule by rule and step by step."""
+    rules = sorted(url_rules.RULES, key=lambda r: -len(r[1] + r[2]))
+
+    def longest(what: int | None) -> str:
+        cases = " ".join(
+            f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') "
+            f"THEN '{h + p if what is None else v}'"
+            for v, h, p in rules
+        )
+        return f"CASE {cases} END"
+
+    form = (
+        "CASE WHEN regexp_full_match(stem, '[0-9]+') THEN '{n}' "
+        "WHEN regexp_full_match(stem, '[0-9]{1,4}[-_.][0-9]{1,2}([-_.][0-9]{1,4})?') THEN '{d}' "
+        "WHEN regexp_matches(stem, '[0-9]') AND regexp_full_match(stem, '[0-9A-Fa-f-]{8,}') THEN '{x}' "
+        "WHEN regexp_matches(stem, '[0-9]') AND regexp_full_match(stem, '[A-Za-z0-9_-]{12,}') THEN '{i}' "
+        "ELSE stem END"
+    )
+    node = r"(^|/)([^/{*][^/{]*)((?:/(?:\{[a-z]\}[^/]*|\*)?)*)$"
+    w = url_rules.WEIGHT
+    return rf"""
+WITH cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(substr(coalesce(rest, ''), length(regexp_extract(coalesce(rest, ''), '^[^/?#]*')) + 1),
+    '^[^?#]*') AS path FROM cut),
+ruled AS (SELECT *, {longest(None)} AS rule, {longest(0)} AS said, string_split(path, '/') AS pieces FROM parts),
+flat AS (SELECT page_id, unnest(pieces) AS piece, unnest(range(len(pieces))) AS place, host FROM ruled),
+stems AS (SELECT *, regexp_extract(piece, '(\.[A-Za-z]{{1,5}})$', 1) AS ending,
+  regexp_replace(piece, '\.[A-Za-z]{{1,5}}$', '') AS stem FROM flat),
+forms AS (SELECT page_id, host, place, {form} || ending AS word FROM stems),
+wide AS (SELECT host, place FROM forms WHERE NOT starts_with(word, '{{') AND word <> ''
+  GROUP BY host, place HAVING count(DISTINCT word) > {url_rules.FAN}),
+general AS (SELECT page_id, string_agg(CASE WHEN wide.host IS NOT NULL AND NOT starts_with(word, '{{')
+    AND word <> '' THEN '*' ELSE word END, '/' ORDER BY forms.place) AS template
+  FROM forms LEFT JOIN wide ON forms.host = wide.host AND forms.place = wide.place GROUP BY page_id),
+rows AS (SELECT ruled.*, template FROM ruled JOIN general USING (page_id)),
+counts AS (SELECT host, template, count(*) FILTER (said = 'block') AS blocked, count(said) AS labelled,
+  regexp_replace(template, '{node}', '\1~\3') AS node FROM rows GROUP BY host, template),
+shares AS (SELECT *, sum(blocked) OVER n / nullif(sum(labelled) OVER n, 0) AS share FROM counts
+  WINDOW n AS (PARTITION BY host, node)),
+merged AS (SELECT *, CASE WHEN abs(blocked / nullif(labelled, 0) - share)
+    <= {url_rules.SIGMAS} * sqrt(share * (1 - share) / nullif(labelled, 0))
+  THEN node ELSE template END AS branch FROM shares),
+own AS (SELECT host, branch, sum(blocked) AS b, sum(labelled) AS l FROM merged GROUP BY host, branch),
+pooled AS (SELECT template, sum(blocked) / (sum(labelled) + {w}) AS prior FROM counts GROUP BY template),
+pure AS (SELECT host, template, branch, (b + {w} * prior) / (l + {w}) AS purity
+  FROM merged JOIN own USING (host, branch) JOIN pooled USING (template))
+SELECT page_id, host, path, rule,
+  coalesce(said, CASE WHEN round(purity, 6) >= {url_rules.PURITY} THEN 'block' ELSE 'allow' END) AS verdict,
+  branch, round(purity, 6) AS purity
+FROM rows JOIN pure USING (host, template)"""
+
+
 SQL: dict[str, str] = {
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -72,4 +128,5 @@ SQL: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op6_url_rules": _url_sql(),
 }
