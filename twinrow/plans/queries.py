@@ -574,22 +574,34 @@ def window_field_diff(spark: SparkSession, folder: str) -> DataFrame:
 # ------------------------------------------------------------ streams
 
 
-def _event_streams(spark: SparkSession, folder: str) -> list[DataFrame]:
-    """Clicks and views as two streams of records, read from the events table."""
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events table as a stream of rows."""
     schema = tables.table(spark, folder, "events").schema
     # A glob, since a stream takes a plain path for a folder and the table may
     # be a single file.
-    path = f"{folder.rstrip('/')}/events.parque[t]"
+    return spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/events.parque[t]")
+
+
+def _event_streams(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Clicks and views as two streams of records."""
     return [
         topics.decode_json(
-            tables.event_messages(
-                spark.readStream.schema(schema).parquet(path).where(F.col("event_type") == kind)
-            )
+            tables.event_messages(_event_stream(spark, folder).where(F.col("event_type") == kind))
         )
         for kind in ("click", "view")
     ]
 
 
+def _event_copies(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """All events and a faulty copy of all, as two streams of records: views of little
+    value are lost, clicks of little value have other props."""
+    events = _event_stream(spark, folder)
+    copy = events.where(f"not ({LOST_EVENTS})").withColumn(
+        "props", F.when(F.expr(OTHER_EVENTS), F.lit('{"k": -1}')).otherwise(F.col("props"))
+    )
+    return [topics.decode_json(tables.event_messages(side)) for side in (events, copy)]
+
+
 def _finished(run) -> None:
     run.awaitTermination()
 
@@ -597,11 +609,16 @@ def _finished(run) -> None:
 STREAM_KEYS = ["user_id"]
 STREAM_FIELDS = ["user_id", "props"]
 
+LOST_EVENTS = "event_type = 'view' and value < 5"
+OTHER_EVENTS = "event_type = 'click' and value < 5"
+
 STREAM_HASHES = f"""
-sh as (select case when event_type = 'click' then 'LEFT' else 'RIGHT' end as side,
-    {_event_row(STREAM_KEYS)} as keys, md5({_event_row(STREAM_KEYS)}) as kh,
-    md5({_event_row(STREAM_FIELDS)}) as vh
-  from ev where event_type in ('click', 'view'))"""
+both_ as (select 'LEFT' as side, user_id, props from events
+  union all select 'RIGHT', user_id, case when {OTHER_EVENTS} then '{{"k": -1}}' else props end
+  from events where not ({LOST_EVENTS})),
+ej as (select side, json('{{"user_id":' || user_id || ',"props":' || props || '}}') as j from both_),
+sh as (select side, {_event_row(STREAM_KEYS)} as keys, md5({_event_row(STREAM_KEYS)}) as kh,
+    md5({_event_row(STREAM_FIELDS)}) as vh from ej)"""
 
 
 @query(f"""
@@ -610,7 +627,7 @@ select cast(1 as bigint) as case_id, cast(2 as bigint) as run_id, side, keys,
   kh as key_hash, vh as value_hash from sh""")
 def stream_hashes(spark: SparkSession, folder: str) -> DataFrame:
     hashed = hashing.hash_both(
-        *_event_streams(spark, folder), STREAM_FIELDS, STREAM_KEYS, case_id=1, run_id=2
+        *_event_copies(spark, folder), STREAM_FIELDS, STREAM_KEYS, case_id=1, run_id=2
     )
     run = run_folder(spark, "stream-hashes")
     _finished(
@@ -627,7 +644,7 @@ select cast(1 as bigint) as case_id, cast(2 as bigint) as run_id, key_hash, valu
 from nets where net <> 0""")
 def stream_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     hashed = hashing.hash_both(
-        *_event_streams(spark, folder), STREAM_FIELDS, STREAM_KEYS, case_id=1, run_id=2
+        *_event_copies(spark, folder), STREAM_FIELDS, STREAM_KEYS, case_id=1, run_id=2
     )
     run = run_folder(spark, "stream-reconcile")
     _finished(
