@@ -191,6 +191,30 @@ def test_stream_and_batch_agree_on_one_row_against_equal_ones(spark, feeds, fold
     assert rows(running.window_report(spark, f"{folder}/out").select(batch.columns)) == rows(batch)
 
 
+def test_open_windows_are_reported_at_the_end(spark, feeds, folder):
+    for feed, items in zip(feeds, (LEFT, RIGHT)):
+        feed.add(items)
+        feed.add([('{"id":"end"}', 45)])
+
+    def go():
+        query = running.start_window_diff(
+            *(f.stream() for f in feeds), ["a"], ["id"], f"{folder}/out", f"{folder}/check",
+            delay="5 seconds", availableNow=True,
+        )
+        run(query)
+        return query
+
+    assert running.late_rows(go()) == 0
+    feeds[0].add([('{"id":7,"a":"too late"}', 2)])
+    assert running.late_rows(go()) == 1
+    early = running.window_report(spark, f"{folder}/out").count()
+    running.finish_window_diff(spark, f"{folder}/out", f"{folder}/check", ["a"])
+    got = running.window_report(spark, f"{folder}/out")
+    batch = windows.window_diff(frame(spark, LEFT), frame(spark, RIGHT), ["a"], ["id"])
+    assert early < got.count()
+    assert rows(got.select(batch.columns)) == rows(batch)
+
+
 def test_hashing_a_stream_to_text(spark, feeds, folder):
     feeds[0].add(LEFT)
     hashed = hash_rows(feeds[0].stream(), ["id", "a"], ["id"])

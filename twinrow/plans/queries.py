@@ -551,11 +551,11 @@ def window_join_pairs(spark: SparkSession, folder: str) -> DataFrame:
 WINDOW_REPORT_SQL = _report_sql(EVENT_SIDES, "k, w", "w,", DIFF_FIELDS)
 
 
-def _window_report_sql(closed: str = "") -> str:
+def _window_report_sql() -> str:
     return f"""
 select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, left_key, right_key, left_field,
   left_value, right_field, right_value, left_rows, right_rows
-from ({WINDOW_REPORT_SQL}) {closed}"""
+from ({WINDOW_REPORT_SQL})"""
 
 
 def _shown_report(report: DataFrame) -> DataFrame:
@@ -668,12 +668,9 @@ def stream_window_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(_window_report_sql("""
-where w + interval 1 hour <= (select date_trunc('milliseconds', least(
-    max(ts) filter (event_type = 'click'), max(ts) filter (event_type = 'view')))
-  - interval 10 minutes from events)"""))
+@query(_window_report_sql())
 def stream_window_diff(spark: SparkSession, folder: str) -> DataFrame:
-    """Report of the windows the watermark has closed when the input ends."""
+    """Report of the windows the watermark closes, and of those open at the end."""
     run = run_folder(spark, "stream-window-diff")
     _finished(
         running.start_window_diff(
@@ -681,6 +678,7 @@ def stream_window_diff(spark: SparkSession, folder: str) -> DataFrame:
             f"{run}/out", f"{run}/checkpoint", width=HOUR, delay=DELAY, availableNow=True,
         )
     )
+    running.finish_window_diff(spark, f"{run}/out", f"{run}/checkpoint", DIFF_FIELDS)
     return _shown_report(running.window_report(spark, f"{run}/out"))
 
 

@@ -60,6 +60,17 @@ def reconciled(spark: SparkSession, path: str) -> DataFrame:
     return latest(spark.read.parquet(path))
 
 
+def _report_records(
+    table: DataFrame, left_fields: Sequence[str], right_fields: Sequence[str]
+) -> DataFrame:
+    """Report over counted records of whole windows."""
+    content = ["window_start", "keys", "key", "texts"]
+    sides = [table.where(f"{n} > 0").select(*content, F.col(n).alias("n")) for n in ("l", "r")]
+    return diff_rendered(
+        *sides, left_fields, right_fields, on=["window_start", "keys"], keep=["window_start"]
+    )
+
+
 def start_window_diff(
     left: DataFrame,
     right: DataFrame,
@@ -79,7 +90,8 @@ def start_window_diff(
     Records are counted by window, key and content, which needs no pairs in the
     state and spreads a hot key over all tasks. A closed window arrives complete
     in one batch, which then is a batch comparison. Windows still open when the
-    stream stops are reported after a restart.
+    stream stops are reported after a restart, or by ``finish_window_diff`` if no
+    more input will come. ``late_rows`` tells what came too late to be counted.
     """
     right_fields = right_fields or left_fields
     right_key_fields = right_key_fields or key_fields
@@ -102,18 +114,14 @@ def start_window_diff(
     )
 
     def report(closed: DataFrame, batch_id: int) -> None:
-        spark = closed.sparkSession
         # The batch is read several times; computing it again would run the
         # stateful part again.
         records = _batch_folder(f"{path}/records", batch_id)
         closed.write.mode("overwrite").parquet(records)
-        table = spark.read.parquet(records)
-        content = ["window_start", "keys", "key", "texts"]
-        sides = [table.where(f"{n} > 0").select(*content, F.col(n).alias("n")) for n in ("l", "r")]
-        diff_rendered(
-            *sides, left_fields, right_fields,
-            on=["window_start", "keys"], keep=["window_start"],
-        ).write.mode("overwrite").parquet(_batch_folder(f"{path}/report", batch_id))
+        table = closed.sparkSession.read.schema(closed.schema).parquet(records)
+        _report_records(table, left_fields, right_fields).write.mode("overwrite").parquet(
+            _batch_folder(f"{path}/report", batch_id)
+        )
 
     writer = (
         counted.writeStream.outputMode("append")
@@ -123,6 +131,41 @@ def start_window_diff(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def finish_window_diff(
+    spark: SparkSession, path: str, checkpoint: str, left_fields: Sequence[str],
+    right_fields: Sequence[str] | None = None,
+) -> None:
+    """Report the windows that a stopped ``start_window_diff`` still holds open.
+
+    They are read from its state. This is for the end of the input: a window that
+    gets more records by a later restart would be reported again.
+    """
+    right_fields = right_fields or left_fields
+    state = spark.read.format("statestore").load(checkpoint)
+    window, *rest = [F.col("key")[name] for name in state.schema["key"].dataType.names]
+    # Both sums have the same name in the state, so they are told by position.
+    nets = F.col("value").cast("struct<l: bigint, r: bigint>")
+    table = state.select(
+        window["start"].alias("window_start"),
+        *[c.alias(n) for c, n in zip(rest, ("keys", "key", "texts"))],
+        nets["l"].alias("l"), nets["r"].alias("r"),
+    )
+    records = f"{path}/open-records"
+    table.write.mode("overwrite").parquet(records)
+    kept = spark.read.schema(table.schema).parquet(records)
+    _report_records(kept, left_fields, right_fields).write.mode("overwrite").parquet(
+        f"{path}/report/batch_id=-1"
+    )
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Counted records that a query dropped as they came behind the watermark."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress for operator in progress["stateOperators"]
+    )
+
+
 def window_report(spark: SparkSession, path: str) -> DataFrame:
     """All report rows written so far."""
     return spark.read.parquet(f"{path.rstrip('/')}/report").drop("batch_id")
