@@ -15,7 +15,7 @@ weights over its documents (AdaGrad); the moves of all tasks are averaged, each
 row of weights by how often a task used it, in ``ROUNDS`` rounds over disjoint
 halves of the documents. The sums run over the cluster in two steps.
 
-**Bounds.** The vocabulary has at most ``VOCABULARY`` tokens of at most ``LONGEST``
+**Bounds.** The vocabulary has the end and at most ``VOCABULARY`` tokens of at most ``LONGEST``
 bytes and the weight tables have fixed sizes; only these are broadcast. Counts of
 all other tokens stay in a table and are joined.
 
@@ -78,7 +78,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
 class Vocabulary:
     """Frequent tokens, the most frequent first, with class and place of each.
 
-    Token number ``size`` stands for all others, ``size + 1`` for none.
+    The end is always among them, with count zero if nothing was counted. Token number ``size`` stands for all others, ``size + 1`` for none.
     """
 
     tokens: list[bytes]
@@ -86,6 +86,7 @@ class Vocabulary:
     place: np.ndarray
     inside: np.ndarray  # Log probability within a band; zero elsewhere.
     log_count: np.ndarray  # log10(c + 0.5); zero for the others.
+    known: np.ndarray
     class_bias: np.ndarray
     word_bias: np.ndarray
     end: int
@@ -96,6 +97,8 @@ class Vocabulary:
 
     @staticmethod
     def of(tokens: list[bytes], counts: np.ndarray, open_mass: float) -> Vocabulary:
+        if END not in tokens:
+            tokens, counts = [*tokens, END], np.r_[counts, 0]
         order = sorted(range(len(tokens)), key=lambda i: (-counts[i], tokens[i]))
         tokens = [tokens[i] for i in order]
         counts = counts[order].astype(np.float64)
@@ -117,8 +120,8 @@ class Vocabulary:
         words[cls[:few], place[:few]] = np.log(counts[:few] + 0.5)
         return Vocabulary(
             tokens, cls.astype(np.int64), place.astype(np.int64), inside,
-            np.r_[np.log10(counts + 0.5), 0, 0], bias, words,
-            tokens.index(END) if END in tokens else n,
+            np.r_[np.log10(counts + 0.5), 0, 0], np.r_[counts > 0, False, False], bias, words,
+            tokens.index(END),
         )
 
 
@@ -359,7 +362,7 @@ def fit(docs: DataFrame, vocabulary: int = VOCABULARY) -> Model:
         if held > vocabulary:
             break
         least = row["step"]
-    frequent = short & (step >= least)
+    frequent = (short & (step >= least)) | (F.octet_length("token") == 0)
     rows = counts.where(frequent).toArrow()
     rest = counts.where(~frequent)
     all_of = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
@@ -393,7 +396,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             n = batch.num_rows
             log_p = np.add.reduceat(scorer.log_probability(s), s.first[:-1])
             base = np.add.reduceat(v.log_count[s.token], s.first[:-1])
-            known = np.add.reduceat((s.token < v.size).astype(np.int64), s.first[:-1])
+            known = np.add.reduceat(v.known[s.token].astype(np.int64), s.first[:-1])
             # Copies of a token in a text are counted, so they travel once.
             coded = s.open_token.dictionary_encode()
             wide = max(len(coded.dictionary), 1)
