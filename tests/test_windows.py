@@ -215,6 +215,18 @@ def test_open_windows_are_reported_at_the_end(spark, feeds, folder):
     assert rows(got.select(batch.columns)) == rows(batch)
 
 
+def test_stream_matches_equal_batch(spark, feeds, folder):
+    for feed, items in zip(feeds, (LEFT, RIGHT)):
+        feed.add(items + items[:1])
+    run(running.start_window_matches(
+        *(f.stream() for f in feeds), ["id"], f"{folder}/out", f"{folder}/check", availableNow=True,
+    ))
+    running.finish_window_matches(spark, f"{folder}/out", f"{folder}/check")
+    sides = [frame(spark, items + items[:1]) for items in (LEFT, RIGHT)]
+    batch = windows.window_matches(*sides, ["id"])
+    assert rows(running.stream_matches(spark, f"{folder}/out").select(batch.columns)) == rows(batch)
+
+
 def test_hashing_a_stream_to_text(spark, feeds, folder):
     feeds[0].add(LEFT)
     hashed = hash_rows(feeds[0].stream(), ["id", "a"], ["id"])

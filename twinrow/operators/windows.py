@@ -17,7 +17,7 @@ WIDTH = "30 seconds"
 GROUP = ["window_start", "key_hash"]
 
 
-def _record(df: DataFrame) -> Column:
+def record(df: DataFrame) -> Column:
     """All columns of a row, without the parsed form of a JSON record."""
     drop = VARIANT if is_records(df) else None
     return F.struct(*[F.col(f"`{c}`") for c in df.columns if c != drop])
@@ -30,8 +30,8 @@ def _in_window(
         if delay is None:
             raise ValueError("a stream needs a watermark delay, or its state never expires")
         df = df.withWatermark(ts, delay)
-    record = _record(df).alias(name)
-    return with_key_hash(df, key_fields).select("key_hash", F.window(ts, width).alias("w"), record)
+    own = record(df).alias(name)
+    return with_key_hash(df, key_fields).select("key_hash", F.window(ts, width).alias("w"), own)
 
 
 def window_join(
@@ -104,7 +104,7 @@ def window_matches(
         with_key_hash(side, keys).select(
             F.window(ts, width)["start"].alias("window_start"), "key_hash",
             F.lit(tag).alias("side"),
-            _record(side).alias("record"),
+            record(side).alias("record"),
         )
         for tag, side, keys in (
             ("LEFT", left, key_fields), ("RIGHT", right, right_key_fields or key_fields),

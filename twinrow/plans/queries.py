@@ -500,12 +500,6 @@ def word_count_union(spark: SparkSession, folder: str) -> DataFrame:
 # ------------------------------------------------------------ windows
 
 
-PAIRS_SQL = f"""
-with {EVENT_SIDES}
-select strftime(w, '%Y-%m-%d %H:%M:%S') as window_start, md5(k || '|') as key_hash,
-  cl.text as left_value, vi.text as right_value
-from cl join vi using (k, w)"""
-
 MATCHES = f"""{EVENT_SIDES},
 n as (select k, w, count(*) filter (event_type = 'click') as ln,
         count(*) filter (event_type = 'view') as rn
@@ -653,18 +647,26 @@ def stream_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     return reconcile.outstanding(running.reconciled(spark, f"{run}/out"))
 
 
-@query(PAIRS_SQL)
+MATCHES_SQL = f"""
+with {MATCHES}
+select window_start, key_hash, case when event_type = 'click' then 'LEFT' else 'RIGHT' end as side,
+  text as value, ln as left_rows, rn as right_rows from m"""
+
+
+@query(MATCHES_SQL)
 def stream_window_join(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = windows.window_join(
-        *_event_streams(spark, folder), STREAM_KEYS, width=HOUR, delay=DELAY, salts=4
-    )
+    """The window join of two streams, its pairs not multiplied out."""
     run = run_folder(spark, "stream-window-join")
     _finished(
-        running.append_to_table(pairs, f"{run}/out", f"{run}/checkpoint", availableNow=True)
+        running.start_window_matches(
+            *_event_streams(spark, folder), STREAM_KEYS, f"{run}/out", f"{run}/checkpoint",
+            width=HOUR, delay=DELAY, availableNow=True,
+        )
     )
-    return spark.read.schema(pairs.schema).parquet(f"{run}/out").select(
-        _time("window_start").alias("window_start"), "key_hash",
-        F.col("left.value").alias("left_value"), F.col("right.value").alias("right_value"),
+    running.finish_window_matches(spark, f"{run}/out", f"{run}/checkpoint")
+    return running.stream_matches(spark, f"{run}/out").select(
+        _time("window_start").alias("window_start"), "key_hash", "side",
+        F.col("record.value").alias("value"), "left_rows", "right_rows",
     )
 
 

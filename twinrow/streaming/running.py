@@ -15,8 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from twinrow.operators.agreement import both_sides
 from twinrow.operators.diff import check_fields, diff_rendered, keyed, rendered
+from twinrow.operators.hashing import with_key_hash
 from twinrow.operators.reconcile import latest, reconcile
-from twinrow.operators.windows import WIDTH
+from twinrow.operators.windows import WIDTH, record
+from twinrow.session import settled
 
 
 def append_to_table(
@@ -131,33 +133,108 @@ def start_window_diff(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def finish_window_diff(
-    spark: SparkSession, path: str, checkpoint: str, left_fields: Sequence[str],
-    right_fields: Sequence[str] | None = None,
-) -> None:
-    """Report the windows that a stopped ``start_window_diff`` still holds open.
+def _open_windows(
+    spark: SparkSession, checkpoint: str, names: Sequence[str], records: str
+) -> DataFrame:
+    """Counted records of the windows in a stopped stream's state, as a table.
 
-    They are read from its state. This is for the end of the input: a window that
-    gets more records by a later restart would be reported again.
+    The state is grouped by the window and by ``names``, in this order.
     """
-    right_fields = right_fields or left_fields
     state = spark.read.format("statestore").load(checkpoint)
     window, *rest = [F.col("key")[name] for name in state.schema["key"].dataType.names]
     # Both sums have the same name in the state, so they are told by position.
     nets = F.col("value").cast("struct<l: bigint, r: bigint>")
     table = state.select(
-        window["start"].alias("window_start"),
-        *[c.alias(n) for c, n in zip(rest, ("keys", "key", "texts"))],
+        window["start"].alias("window_start"), *[c.alias(n) for c, n in zip(rest, names)],
         nets["l"].alias("l"), nets["r"].alias("r"),
     )
-    records = f"{path}/open-records"
     table.write.mode("overwrite").parquet(records)
-    kept = spark.read.schema(table.schema).parquet(records)
+    return spark.read.schema(table.schema).parquet(records)
+
+
+def finish_window_diff(
+    spark: SparkSession, path: str, checkpoint: str, left_fields: Sequence[str],
+    right_fields: Sequence[str] | None = None,
+) -> None:
+    """Report the windows that a stopped ``start_window_diff`` still holds open.
+
+    They are read from its state. This is for the end of the input: a window that
+    gets more records by a later restart would be reported again.
+    """
+    right_fields = right_fields or left_fields
+    kept = _open_windows(spark, checkpoint, ["keys", "key", "texts"], f"{path}/open-records")
     _report_records(kept, left_fields, right_fields).write.mode("overwrite").parquet(
         f"{path}/report/batch_id=-1"
     )
 
 
+def _matches(table: DataFrame) -> DataFrame:
+    """Each record of whole windows that meets the other side, once."""
+    on = ["window_start", "key_hash"]
+    met = table.groupBy(*on).agg(F.sum("l").alias("left_rows"), F.sum("r").alias("right_rows"))
+    met = settled(met.where("left_rows > 0 and right_rows > 0"), "met-keys")
+    copies = F.explode(F.array(
+        F.struct(F.lit("LEFT").alias("side"), F.col("l").alias("n")),
+        F.struct(F.lit("RIGHT").alias("side"), F.col("r").alias("n")),
+    ))
+    return (
+        table.join(met, on).withColumn("own", copies).where("own.n > 0")
+        .select(
+            *on, "own.side", "record", "left_rows", "right_rows",
+            F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("own.n"))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+def start_window_matches(
+    left: DataFrame, right: DataFrame, key_fields: Sequence[str], path: str, checkpoint: str,
+    ts: str = "ts", width: str = WIDTH, delay: str = WIDTH,
+    right_key_fields: Sequence[str] | None = None, **trigger: object,
+) -> StreamingQuery:
+    """The stream form of ``window_matches``: records of closed windows, once each.
+
+    State holds counted records, so nothing multiplies and a hot key spreads.
+    """
+    window = F.window(ts, width).alias("w")
+    sides = [
+        with_key_hash(side.withWatermark(ts, delay), keys).select(
+            window, "key_hash", record(side).alias("record")
+        )
+        for side, keys in ((left, key_fields), (right, right_key_fields or key_fields))
+    ]
+    counted = (
+        both_sides(*sides)
+        .groupBy("w", "key_hash", "record")
+        .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+        .select(F.col("w.start").alias("window_start"), "key_hash", "record", "l", "r")
+    )
+
+    def write(closed: DataFrame, batch_id: int) -> None:
+        records = _batch_folder(f"{path}/records", batch_id)
+        closed.write.mode("overwrite").parquet(records)
+        table = closed.sparkSession.read.schema(closed.schema).parquet(records)
+        _matches(table).write.mode("overwrite").parquet(_batch_folder(f"{path}/matches", batch_id))
+
+    writer = (
+        counted.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+    )
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def finish_window_matches(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Write the matches of the windows that a stopped stream still holds open."""
+    table = _open_windows(spark, checkpoint, ["key_hash", "record"], f"{path}/open-records")
+    _matches(table).write.mode("overwrite").parquet(f"{path}/matches/batch_id=-1")
+
+
+def stream_matches(spark: SparkSession, path: str) -> DataFrame:
+    """All matches written so far."""
+    return spark.read.parquet(f"{path.rstrip('/')}/matches").drop("batch_id")
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Counted records that a query dropped as they came behind the watermark."""
     return sum(
