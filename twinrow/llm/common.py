@@ -11,7 +11,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinrow.session import run_folder
+from twinrow.session import settled
+
+__all__ = [
+    "BROADCAST_ROWS", "Words", "bounded", "by_bytes", "settled", "slices", "table", "text_bytes",
+    "thinned", "whole", "words_of",
+]
 
 #: Rows of a few fixed-width columns that may be broadcast; about 16 MB.
 BROADCAST_ROWS = 1_000_000
@@ -26,17 +31,6 @@ def whole(text: str = "text") -> Column:
     return F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
-    """The rows written once to the shared folder and read back.
-
-    Later steps plan with the true size, and a lost executor costs no more than
-    reading a file again.
-    """
-    folder = run_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A settled table of fixed-width rows, marked for broadcast if it is small.
 
