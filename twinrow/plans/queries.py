@@ -718,6 +718,23 @@ def job_compare_csv(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_lines(spark, f"{path}/out").select(F.col("value").alias("id"))
 
 
+@query("""
+select cast(doc_id as varchar) as f0, lang as f1, source as f2,
+  (select count(*) from documents where n_chars % 7 <> 0) as kept,
+  (select count(*) from documents where n_chars % 7 = 0) as blanks
+from documents where n_chars % 7 <> 0""")
+def job_clean_triples(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as triples between semicolons, without those whose source is blank."""
+    run = run_folder(spark, "clean-triples")
+    source = F.when(F.col("n_chars") % 7 == 0, F.lit(" \x01")).otherwise(F.col("source"))
+    triples = tables.table(spark, folder, "documents").select("doc_id", "lang", source.alias("source"))
+    sinks.write_csv(triples, f"{run}/in", ";")
+    seen = jobs.clean_triples(spark, f"{run}/in", f"{run}/out")
+    return files.read_csv_rows(spark, f"{run}/out", jobs.TRIPLE).withColumns({
+        "kept": F.lit(seen["kept"]).cast("bigint"), "blanks": F.lit(seen["blanks"][2]).cast("bigint"),
+    })
+
+
 @query("""
 with t as (select unnest(regexp_split_to_array(lower(text), '\\W+')) as word
            from (select text from documents union all select text from benchmark))
