@@ -233,6 +233,34 @@ def test_what_does_not_parse_is_not_reported(text):
     assert leaked_keys.confirmed_spans(text) == []
 
 
+TOKEN = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxIn0.abc"
+LINES = base64.encodebytes(RSA).decode().rstrip("\n")
+ENDS = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+
+
+@pytest.mark.parametrize("kind, head, text, tail", [
+    ("jwt", "use ", TOKEN, ". Then"), ("jwt", "see.", TOKEN, "..."), ("jwt", "id_", TOKEN, ""), ("jwt", "a-", TOKEN, "."),
+    ("pem", '{"key": "', (ENDS[0] + "\n" + LINES + "\n" + ENDS[1]).replace("\n", "\\n"), '\\n"}'),
+    ("pem", "K=", (ENDS[0] + "\n" + LINES + "\n" + ENDS[1]).replace("\n", "\\r\\n"), ""),
+    ("pem", "", ENDS[0] + "\nProc-Type: 4,CLEAR\n\n" + LINES + "\n" + ENDS[1], ""),
+    ("pem", "", ENDS[0] + "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16 + "\n\n"
+     + base64.encodebytes(bytes(range(160))).decode() + ENDS[1], ""),
+    ("der", "key:\n", LINES, "\nThen more"), ("der", "key=", LINES.replace("\n", "\r\n  "), ""),
+    ("der", "", base64.b64encode(EC).decode()[:32] + "\n" + base64.b64encode(EC).decode()[32:], " x"),
+])
+def test_structures_in_running_text(kind, head, text, tail):
+    got = leaked_keys.confirmed_spans(head + text + tail)
+    assert got == [(kind, len(head), len(head) + len(text))]
+
+
+@pytest.mark.parametrize("text", [
+    TOKEN + ".more", "x" + TOKEN, LINES[:-9] + "\nThen", LINES.replace("\n", "\n\n"),
+    ENDS[0] + "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16 + "\n\n" + "abcd" * 9 + "\n" + ENDS[1],
+])
+def test_running_text_without_whole_structures(text):
+    assert leaked_keys.confirmed_spans(text) == []
+
+
 def test_secrets_of_documents(docs):
     items = [(1, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"'), (2, None), (None, "AKIA" + "Z" * 16)]
     got = spans.digests(leaked_keys.secrets(docs(items)), leaked_keys.BASE, leaked_keys.CONFIRMED, by_start=True)

@@ -11,7 +11,13 @@ they hold parses to its end:
          string or an algorithm with an object identifier;
 ``ssh``  base64 of length-prefixed fields, the first the name of a key type, or of
          the container of private keys that starts with its magic text;
-``pem``  a block with BEGIN and END lines around a body that is one of the two.
+``pem``  a block with BEGIN and END lines around a body that is one of the two, or
+         whose headers name a cipher with a start value, and which is whole blocks
+         of that cipher. Line breaks may be written as escapes.
+
+A token may follow a point, dash or underscore, and end before a full stop. Runs
+of one width on consecutive lines, and a shorter one after them, are also
+decoded as one.
 
 Null texts count as empty. Runs of any length are looked at whole; a candidate is
 decoded once, so the work is linear in the text.
@@ -43,9 +49,16 @@ _NAMES = ("passw", "secret", "token", "api")
 #: Encoded text shorter than this holds no key.
 LEAST = 32
 _ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+={0,2}" % LEAST)
-_TOKEN = re.compile(
-    r"(?<![A-Za-z0-9_.-])eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+(?![A-Za-z0-9_.-])"
+_BREAK = r"[\x20\t]*+(?:\r?\n|(?:\\+r)?\\+n)[\x20\t]*+"
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+(?:%s[A-Za-z0-9+/_-]++={0,2})++" % (LEAST, _BREAK)
 )
+_LINE = re.compile(r"(?:^|%s)([A-Za-z0-9+/_-]++={0,2})" % _BREAK)
+_TOKENS = re.compile(r"[A-Za-z0-9_.-]++")
+_HEAD = re.compile(r"(?<![A-Za-z0-9])eyJ")
+_ESCAPED = re.compile(r"(?:\\+r)?\\+n")
+_HEADER = re.compile(r"\s*([A-Za-z][A-Za-z0-9-]*):(.*)")
+_CIPHER = re.compile(r"\s*[A-Z0-9-]+,((?:[0-9A-Fa-f]{2})+)\s*")
 _BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----")
 _KEY_TYPES = (b"ssh-", b"ecdsa-", b"sk-ssh-", b"sk-ecdsa-")
 _MAGIC = b"openssh-key-v1\0"
@@ -151,34 +164,97 @@ def _object(part: str) -> dict | None:
     return value if isinstance(value, dict) else None
 
 
+def _tokens(run: str) -> list[tuple[int, int]]:
+    """Signed tokens in a run of base64url characters and points."""
+    found = []
+    parts = run.split(".")
+    at = [0]
+    for part in parts:
+        at.append(at[-1] + len(part) + 1)
+    i = 0
+    while i + 2 < len(parts):
+        # A fourth part, unless empty, makes it something else.
+        if "eyJ" in parts[i] and parts[i + 1] and not (i + 3 < len(parts) and parts[i + 3]):
+            if _object(parts[i + 1]) is not None:
+                for m in _HEAD.finditer(parts[i]):
+                    if "alg" in (_object(parts[i][m.start() :]) or {}):
+                        found.append((at[i] + m.start(), at[i + 2] + len(parts[i + 2])))
+                        i += 2
+                        break
+        i += 1
+    return found
+
+
+def _key_kind(run: str) -> str | None:
+    """What key the encoded run holds."""
+    if len(run) % 2 == 0 and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run):
+        return "der" if is_private_der(bytes.fromhex(run)) else None
+    raw = _decoded(run)
+    if raw is None:
+        return None
+    return "der" if is_private_der(raw) else "ssh" if is_key_fields(raw) else None
+
+
+def _wrapped(text: str) -> list[tuple[str, int, int]]:
+    """Keys whose encoded form goes over several lines of one width."""
+    found = []
+    for m in _WRAPPED.finditer(text):
+        lines = [x.span(1) for x in _LINE.finditer(m[0])]
+        i = 0
+        while i < len(lines):
+            width = lines[i][1] - lines[i][0]
+            full = i + 1
+            while full < len(lines) and lines[full][1] - lines[full][0] == width:
+                full += 1
+            # The last line is shorter, but a shorter line need not belong to it.
+            ends = [full + 1] if full < len(lines) and lines[full][1] - lines[full][0] < width else []
+            step = full
+            for end in [*ends, full]:
+                if end - i < 2 or width < LEAST:
+                    continue
+                kind = _key_kind("".join(m[0][a:b] for a, b in lines[i:end]))
+                if kind:
+                    found.append((kind, m.start() + lines[i][0], m.start() + lines[end - 1][1]))
+                    step = end
+                    break
+            i = step
+    return found
+
+
+def _is_pem_body(body: str) -> bool:
+    """Whether the text between BEGIN and END holds a key."""
+    lines = _ESCAPED.sub("\n", body).split("\n")
+    headers = {h[1]: h[2] for line in lines if (h := _HEADER.fullmatch(line))}
+    raw = _decoded("".join("".join(x.split()) for x in lines if not _HEADER.fullmatch(x)))
+    if not raw:
+        return False
+    cipher = _CIPHER.fullmatch(headers.get("DEK-Info", ""))
+    if cipher and "ENCRYPTED" in headers.get("Proc-Type", ""):
+        return len(raw) % (len(cipher[1]) // 2) == 0
+    return is_private_der(raw) or is_key_fields(raw)
+
+
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans whose decoded content parses, in order of start."""
     found = []
     if "eyJ" in text:
-        for m in _TOKEN.finditer(text):
-            head, body, _ = m[0].split(".")
-            if "alg" in (_object(head) or {}) and _object(body) is not None:
-                found.append(("jwt", *m.span()))
+        for m in _TOKENS.finditer(text):
+            if "eyJ" in m[0]:
+                found += [("jwt", m.start() + a, m.start() + b) for a, b in _tokens(m[0])]
     blocks = []
     for m in _BEGIN.finditer(text) if "-----BEGIN " in text else ():
         close = f"-----END {m[1]}-----"
         end = text.find(close, m.end())
-        if end < 0:
-            continue
-        raw = _decoded("".join(text[m.end() : end].split()))
-        if raw and (is_private_der(raw) or is_key_fields(raw)):
+        if end >= 0 and _is_pem_body(text[m.end() : end]):
             blocks.append((m.start(), end + len(close)))
     found += [("pem", *b) for b in blocks]
+    joined = [w for w in _wrapped(text) if not any(a <= w[1] < b for a, b in blocks)]
+    found += joined
+    blocks += [w[1:] for w in joined]
     for m in _ENCODED.finditer(text):
         if any(a <= m.start() < b for a, b in blocks):
             continue
-        run = m[0]
-        kind = None
-        if len(run) % 2 == 0 and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run):
-            if is_private_der(bytes.fromhex(run)):
-                kind = "der"
-        elif (raw := _decoded(run)) is not None:
-            kind = "der" if is_private_der(raw) else "ssh" if is_key_fields(raw) else None
+        kind = _key_kind(m[0])
         if kind:
             found.append((kind, *m.span()))
     return sorted(found, key=lambda s: (s[1], CONFIRMED.index(s[0])))
