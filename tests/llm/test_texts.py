@@ -180,6 +180,54 @@ def test_personal_data_of_documents(docs, tagger):
     assert pii.personal_data(docs([])).count() == 0
 
 
+class Marks:
+    """Tags every run of the letter q as an email."""
+
+    def decode(self, x):
+        tags = np.zeros_like(x)
+        for row, own in zip(tags, x):
+            inside = own == 1 + ord("q") - 32
+            row[inside] = 2
+            row[inside & ~np.r_[False, inside[:-1]]] = 1
+        return tags, np.ones(x.shape)
+
+
+@pytest.mark.parametrize("size", [31, 50, 62, 200, 700])
+def test_spans_do_not_depend_on_their_place(monkeypatch, size):
+    monkeypatch.setattr(pii, "_TRIGGER", re.compile("q"))
+    for offset in range(0, 300, 1 if size == 50 else 13):
+        for far in (0, 400):
+            text = "x " * far + " " * offset + "q" * size + " y" * 300
+            start = 2 * far + offset
+            assert pii.tagged(Marks(), [text]) == [[("email", start, start + size)]]
+
+
+def test_a_long_span_is_found_from_one_trigger_in_it(monkeypatch):
+    monkeypatch.setattr(pii, "_TRIGGER", re.compile("qwq"))
+    text = "z" * 900 + "q" * 600 + "w" + "q" * 5
+    monkeypatch.setattr(Marks, "decode", lambda self, x: (
+        np.where((x == 1 + ord("z") - 32) | (x == 0), 0, np.where(np.c_[np.zeros(len(x)), x[:, :-1]] == 1 + ord("z") - 32, 1, 2))
+        - ((x != 1 + ord("z") - 32) & (x != 0) & (np.arange(x.shape[1]) == 0)), np.ones(x.shape)))
+    assert pii.tagged(Marks(), [text]) == [[("email", 900, 1506)]]
+
+
+@pytest.mark.parametrize("value", [
+    "ann.smith at example dot org", "ann{at}example.org", "ann <at> example.org", "ann\uff20example.org", "ann AT host DOT example DOT org",
+])
+def test_spelt_out_addresses_are_decoded(value):
+    text = "word " * 40 + value + " word" * 40
+    assert any(w <= 200 and 200 + len(value) <= w + pii.LENGTH for w in pii.windows(text))
+    assert pii.windows("we met at noon and spoke at length") == []
+
+
+def test_the_tagger_finds_a_long_address_at_every_offset(tagger):
+    value = "annabel.smithson (at) mail7.hostname [dot] org"
+    texts = ["aeinorst tarin " * 3 + "s" * k + " " + value + " nosiat rinaet" * 9 for k in range(64)]
+    found = [any(s[0] == "email" and s[1] <= 46 + k + 16 and s[2] >= 46 + k + 22 for s in own)
+             for k, own in enumerate(pii.tagged(tagger[0], texts))]
+    assert sum(found) >= 0.9 * len(found)
+
+
 # ---------------------------------------------------------------- secrets
 
 SECRET = re.compile(

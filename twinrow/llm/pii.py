@@ -9,12 +9,14 @@ documents (``SAMPLE``): their base spans are the labels, and more labelled spans
 are made by writing values of each kind, also in disguised spellings such as
 ``name (at) host [dot] org`` or dotted card numbers, into windows without any.
 
-**Windows.** Every kind holds a digit, ``@`` or a bracketed "at". Overlapping windows
-cover all such characters with context on both sides; text out of their reach
-cannot hold a span and is not decoded. Each window is decoded by Viterbi, and the
-spans of all windows of a text are reconciled globally: equal spans add up their
-margins, and the non-overlapping set of greatest total margin stays. Spans that
-touch a base span are dropped, so base ones always stay as they are.
+**Windows.** Every kind holds a digit or an "at": a sign, the word in brackets, or the
+word alone before a spelt or dotted domain. Stretches around all such characters are
+decoded by Viterbi in pieces of ``PIECE`` characters, each sharing half with the next,
+and a stretch grows while a span touches its end. A span cut by the end of a piece is
+joined with the part of the same kind that the next piece shows. The spans of a text
+are then reconciled globally: equal spans add up their margins, and the
+non-overlapping set of greatest total margin stays. Spans that touch a base span are
+dropped, so base ones always stay as they are.
 
 Null texts count as empty. With no documents there is nothing to train on or to tag.
 """
@@ -35,6 +37,8 @@ from twinrow.llm.common import by_bytes, thinned
 KINDS = ("email", "ip", "card", "phone")
 LENGTH = 64
 STRIDE = 32
+#: Characters that are decoded at once; every other piece begins half as many later.
+PIECE = 256
 #: Windows of the documents that train the tagger; about 64 characters each.
 SAMPLE = 2000
 #: Spans are at least this long and have at least this mean margin.
@@ -48,7 +52,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TRIGGER = re.compile(r"[0-9@]|[(\[]\x20?at\x20?[)\]]")
+_TRIGGER = re.compile(
+    r"[\d@＠﹫]|[(\[{<]\s?at\s?[)\]}>]"
+    r"|\bat\b(?=\s+[\w-]+(?:\s+[\w-]+){0,6}\s+dot\b|\s+[\w-]+\.[a-z]{2})",
+    re.IGNORECASE,
+)
 
 
 def luhn(digits: str) -> bool:
@@ -146,29 +154,83 @@ def _runs(tags: np.ndarray) -> list[tuple[int, int, int]]:
     return found
 
 
+def _stretches(text: str) -> list[list[int]]:
+    """Start and end of every stretch around windows that meet."""
+    found: list[list[int]] = []
+    for w in windows(text):
+        start, end = max(0, w - LENGTH), min(len(text), w + 2 * LENGTH)
+        if found and start <= found[-1][1]:
+            found[-1][1] = end
+        elif start < end:
+            found.append([start, end])
+    return found
+
+
+Part = tuple[int, int, int, float, bool, bool]
+
+
+def _joined(parts: list[Part]) -> list[Part]:
+    """Spans in order of start, those that pieces cut joined; whether either end is cut."""
+    found = []
+    last: dict[int, Part] = {}
+    for part in sorted(parts):
+        k, a, b, weight, left, right = part
+        before = last.pop(k, None)
+        if before and left and a < before[2]:
+            part = (k, before[1], b, before[3] + weight, before[4], right)
+        elif before:
+            found.append(before)
+        if part[5]:
+            last[k] = part
+        else:
+            found.append(part)
+    return found + list(last.values())
+
+
 def tagged(tagger: lstm.Tagger, texts: list[str]) -> list[list[tuple[str, int, int]]]:
     """Reconciled spans of every text."""
-    places = [(i, w) for i, t in enumerate(texts) for w in windows(t)]
-    cuts = [texts[i][w : w + LENGTH] for i, w in places]
-    unique = list(dict.fromkeys(cuts))
     found: dict[str, list[tuple[int, int, int, float]]] = {}
-    for at in range(0, len(unique), 1024):
-        part = unique[at : at + 1024]
-        tags, margin = tagger.decode(lstm.classes(part, LENGTH))
-        for text, own, by in zip(part, tags, margin):
-            found[text] = [
-                (k, a, b, float(by[a:b].sum())) for k, a, b in _runs(own)
-                if b <= len(text) and by[a:b].mean() >= MARGIN
-            ]
     gathered: list[list[tuple[str, int, int, float]]] = [[] for _ in texts]
-    for (i, w), cut in zip(places, cuts):
-        for k, a, b, weight in found[cut]:
-            # A span at a cut edge is judged by the window that shows it whole.
-            if (a == 0 and w > 0) or (b == LENGTH and w + LENGTH < len(texts[i])):
-                continue
-            gathered[i].append((KINDS[k], w + a, w + b, weight))
+    open_ = [(i, *stretch) for i, t in enumerate(texts) for stretch in _stretches(t)]
+    while open_:
+        pieces = [
+            [(w, min(w + PIECE, end)) for w in range(start, max(start + 1, end - PIECE // 2), PIECE // 2)]
+            for _, start, end in open_
+        ]
+        # Padding is part of what is read, so it depends on the piece alone.
+        by_length: dict[int, dict[str, None]] = {}
+        for (i, _, _), own in zip(open_, pieces):
+            for a, b in own:
+                cut = texts[i][a:b]
+                if cut not in found:
+                    by_length.setdefault(-(-len(cut) // LENGTH) * LENGTH, {})[cut] = None
+        for length, cuts in by_length.items():
+            unique = list(cuts)
+            for at in range(0, len(unique), 256):
+                part = unique[at : at + 256]
+                tags, margin = tagger.decode(lstm.classes(part, length))
+                for text, own, by in zip(part, tags, margin):
+                    found[text] = [
+                        (k, a, min(b, len(text)), float(by[a:b].sum())) for k, a, b in _runs(own)
+                        if a < len(text) and by[a:b].mean() >= MARGIN
+                    ]
+        more = []
+        for (i, start, end), own in zip(open_, pieces):
+            size = len(texts[i])
+            spans_ = _joined([
+                (k, w + a, w + b, weight, a == 0 and w > 0, w + b == e and e < size)
+                for w, e in own for k, a, b, weight in found[texts[i][w:e]]
+            ])
+            early = any(s[4] and s[1] == start for s in spans_)
+            late = any(s[5] and s[2] == end for s in spans_)
+            if early or late:
+                more.append((i, max(0, start - PIECE * early), min(size, end + PIECE * late)))
+            else:
+                gathered[i] += [(KINDS[s[0]], *s[1:4]) for s in spans_ if not s[4] and not s[5]]
+        open_ = more
     return [
-        [s for s in reconciled(own) if s[2] - s[1] >= SHORTEST and _TRIGGER.search(t[s[1] : s[2]])]
+        [s for s in reconciled(own)
+         if s[2] - s[1] >= SHORTEST and _TRIGGER.search(t[s[1] : s[2]])]
         for t, own in zip(texts, gathered)
     ]
 
@@ -187,7 +249,8 @@ def made_up(kind: str, rng: np.random.Generator) -> str:
         top = pick("com", "org", "net", "de", "fr")
         if plain:
             return f"{local}@{host}.{top}"
-        at, dot = pick(" (at) ", " [at] ", "(at)", "[at]"), pick(" (dot) ", " [dot] ", "[dot]", ".")
+        at = pick(" (at) ", " [at] ", "(at)", "[at]", " at ", "{at}", " <at> ", "\uff20")
+        dot = " dot " if at == " at " else pick(" (dot) ", " [dot] ", "[dot]", ".")
         return f"{local}{at}{host.replace('.', dot)}{dot}{top}"
     if kind == "ip":
         parts = [str(p) for p in rng.integers(0, 256, 4)]
