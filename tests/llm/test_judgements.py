@@ -115,6 +115,24 @@ def test_decontamination_by_shuffle_with_odd_rows(spark, docs, monkeypatch):
     assert leaks.marked(docs([]), benchmark).count() == 0
 
 
+PASSAGE = (
+    "the old mill by the river grinds 40 sacks of rye before noon and the miller counts them twice while "
+    "his daughter ties each sack with blue string and writes the weight of every one on a board near the "
+    "door so that the carter who comes at dusk can load 40 sacks without asking"
+)
+
+
+def leaked(spark, docs, texts, benchmark):
+    items = spark.createDataFrame(benchmark, "item_id long, text string")
+    flagged = leaks.marked(docs(list(enumerate(texts))), items).collect()
+    return {r.doc_id: r.item_ids for r in flagged if r.contaminated}
+
+
+def test_an_edited_number_takes_out_its_windows_only(spark, docs):
+    texts = [PASSAGE.replace("load 40", "load 39"), PASSAGE.replace("40", "12"), PASSAGE[:150]]
+    assert leaked(spark, docs, texts, [(1, PASSAGE)]) == {0: [1], 1: [1]}
+
+
 # ---------------------------------------------------------------- urls
 
 URLS = [

@@ -13,8 +13,9 @@ only hits are shuffled. A larger benchmark is joined by shuffle.
 
 **Slots.** Hits of a document and an item that lie at the same offset form an
 alignment. A re-parameterised question has every value replaced the same way
-throughout: an alignment in which one value of the item stands for two of the
-document, or the other way round, is dropped.
+throughout: windows with a value of the item that stands for two of the document in
+the alignment, or the other way round, do not count, unless all their values are
+unchanged.
 
 **Verdict.** A document is contaminated by an item if its remaining alignments
 hold at least ``SHARE`` of the item's distinct windows.
@@ -166,14 +167,26 @@ def contaminations(
     lane = [*which, "shift"]
     values = near.select(*lane, F.explode(slots).alias("slot")).select(*lane, "slot.*").distinct()
     clash = (
-        values.groupBy(*lane, "own").count().where("count > 1").select(*lane)
-        .unionByName(values.groupBy(*lane, "seen").count().where("count > 1").select(*lane))
-        .distinct()
+        values.groupBy(*lane, "own").count().where("count > 1").select(*lane, "own", F.lit(None).cast("string").alias("seen"))
+        .unionByName(
+            values.groupBy(*lane, "seen").count().where("count > 1")
+            .select(*lane, F.lit(None).cast("string").alias("own"), "seen")
+        )
+        .groupBy(*lane)
+        .agg(F.collect_set("own").alias("bad_own"), F.collect_set("seen").alias("bad_seen"))
     )
-    true = near.alias("n").join(
+    with_clash = near.withColumn("slots", slots).alias("n").join(
         clash.alias("c"),
         F.expr("n.id <=> c.id and n.print = c.print and n.item <=> c.item and n.shift = c.shift"),
-        "left_anti",
+        "left",
+    ).select("n.*", "bad_own", "bad_seen")
+    true = with_clash.where(
+        F.col("bad_own").isNull()
+        | F.forall("slots", lambda p: p["own"] == p["seen"])
+        | ~F.exists(
+            "slots",
+            lambda p: F.array_contains("bad_own", p["own"]) | F.array_contains("bad_seen", p["seen"]),
+        )
     )
     return (
         true.groupBy(*which, "windows").agg(F.countDistinct("hash").alias("found"))
