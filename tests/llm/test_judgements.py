@@ -133,6 +133,13 @@ def test_an_edited_number_takes_out_its_windows_only(spark, docs):
     assert leaked(spark, docs, texts, [(1, PASSAGE)]) == {0: [1], 1: [1]}
 
 
+def test_benchmark_rows_without_id_or_with_the_same(spark, docs):
+    other = "seven grey geese walk along the frozen canal towards the lamp of the ferryman who sleeps in his boat"
+    texts = [PASSAGE, other, "neither of the two"]
+    assert leaked(spark, docs, texts, [(None, PASSAGE)]) == {0: [None]}
+    assert leaked(spark, docs, texts, [(1, PASSAGE), (1, other), (1, other)]) == {0: [1], 1: [1]}
+
+
 # ---------------------------------------------------------------- urls
 
 URLS = [

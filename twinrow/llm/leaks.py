@@ -22,8 +22,8 @@ hold at least ``SHARE`` of the item's distinct windows.
 
 A null text has no words; so has a null benchmark item, which contaminates
 nothing. Rows are told apart by id and text, so repeated ids do not mix, and
-repeated rows have the same verdict. Rows of the benchmark that repeat an id
-count as one item with the windows of all.
+repeated rows have the same verdict. Rows of the benchmark that repeat an id with
+another text are looked for one by one, and an item may have no id.
 """
 
 from __future__ import annotations
@@ -94,15 +94,19 @@ def _windows(rows: DataFrame, size: int, exact: bool) -> DataFrame:
 def benchmark_windows(
     benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text"
 ) -> DataFrame:
-    """Item, windows it has, and of each window size, hash, place and words."""
-    rows = _with_types(benchmark.select(
-        F.col(f"`{item_col}`").alias("item"), marked_words(whole(text_col)).alias("words")
-    ))
+    """Item, its id ``name``, and of each window size, hash, place and words. An item is
+    told by a hash of its id and text."""
+    id_, text = F.col(f"`{item_col}`"), whole(text_col)
+    rows = _with_types(
+        benchmark.select(F.xxhash64(id_, text).alias("item"), id_.alias("name"), text.alias("text"))
+        .dropDuplicates(["item"])
+        .select("item", "name", marked_words(F.col("text")).alias("words"))
+    )
     every = reduce(
         DataFrame.unionByName,
         [
             _windows(rows, size, exact=size < WORDS).select(
-                "item", F.lit(size).alias("size"), "hash", "at",
+                "item", "name", F.lit(size).alias("size"), "hash", "at",
                 F.slice("words", F.col("at") + 1, size).alias("own"),
             )
             for size in range(1, WORDS + 1)
@@ -188,10 +192,14 @@ def contaminations(
             lambda p: F.array_contains("bad_own", p["own"]) | F.array_contains("bad_seen", p["seen"]),
         )
     )
-    return (
+    covered = (
         true.groupBy(*which, "windows").agg(F.countDistinct("hash").alias("found"))
         .where(F.col("found") >= F.col("windows") * SHARE)
-        .select(*which, (F.col("found") / F.col("windows")).alias("share"))
+    )
+    return (
+        covered.join(windows.select("item", "name").distinct(), "item")
+        .groupBy("id", "print", F.col("name").alias("item"))
+        .agg(F.max(F.col("found") / F.col("windows")).alias("share"))
     )
 
 
@@ -202,7 +210,11 @@ def marked(
     found = settled(
         contaminations(docs, benchmark, id_col, text_col, **options)
         .groupBy("id", "print")
-        .agg(F.sort_array(F.collect_set("item")).alias("item_ids"), F.max("share").alias("share")),
+        .agg(
+            # Structs, as a set of bare ids leaves out null.
+            F.transform(F.sort_array(F.collect_set(F.struct("item"))), lambda s: s["item"]).alias("item_ids"),
+            F.max("share").alias("share"),
+        ),
         "contaminated",
     )
     rows = docs.select(
