@@ -140,6 +140,18 @@ def test_benchmark_rows_without_id_or_with_the_same(spark, docs):
     assert leaked(spark, docs, texts, [(1, PASSAGE), (1, other), (1, other)]) == {0: [1], 1: [1]}
 
 
+def test_names_at_sentence_starts_and_lower_cased_copies(spark, docs):
+    story = "{} has 5 apples. {} gives her 3 more pears from the tree behind the barn. \u201c{} is kind\u201d, says the old man."
+    talk = "yesterday the tall {0} met a friend called {1} near the {2} gate and then {0} went home"
+    texts = [
+        story.format("Eve", "Max", "Max"), story.format("Alice", "Bob", "Bob").lower(), talk.format("Paul", "Rita", "North").lower(),
+        "Max has no apples. Rita has none.", story.format("Eve", "Max", "Eve").replace("3", "5"),
+    ]
+    items = [(1, story.format("Alice", "Bob", "Bob")), (2, talk.format("Paul", "Rita", "North"))]
+    assert leaked(spark, docs, texts, items) == {0: [1], 1: [1], 2: [2]}
+    assert leaked(spark, docs, ["Over there", "hi There"], [(1, "Hi there")]) == {1: [1]}
+
+
 # ---------------------------------------------------------------- urls
 
 URLS = [

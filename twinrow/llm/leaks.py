@@ -4,8 +4,11 @@
 their value: a number is a run of digits with inner points and commas, a unit is
 a known word right after a number, a name is a capitalised word that follows a
 small letter, a digit or a comma and a space. Everything else is lower-cased and
-cut into words of letters. A template window is five words in a row, placeholders
-reduced to their type; items of fewer words are one window of all they have.
+cut into words of letters. Texts are compared in three forms, and the best counts:
+with these names, with every capitalised word a name, and without names. A template window is five words in a row, placeholders
+reduced to their type; items of fewer words are one window of all they have. Where
+every capitalised word is a name, only windows of five words, two of them plain,
+count.
 
 **Join.** Windows of the benchmark are a small table; its size is checked, and up
 to ``BROADCAST_ROWS`` windows it is broadcast, so the corpus is scanned once and
@@ -39,6 +42,10 @@ WORDS = 5
 SHARE = 0.8
 
 NAME, NUMBER, UNIT = "\u0002", "\u0003", "\u0004"
+#: Marks capitalised words that are a name only where all of these are.
+CAPITAL = "\u0005"
+#: Forms of a text: names by context, every capitalised word a name, no names.
+BY_CONTEXT, ALL_CAPITALS, NO_NAMES = range(3)
 UNITS = (
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g gram grams kg "
     "kilogram kilograms oz lb lbs pound pounds t ton tons ml cl l liter liters litre litres "
@@ -48,32 +55,66 @@ UNITS = (
 ).split()
 
 
-def marked_words(text: Column) -> Column:
-    """Words of a text; placeholders are a mark followed by their value."""
+def _cut(text: Column) -> Column:
+    """Words of a text; placeholders and capitalised words are a mark and their value."""
     # The mark characters themselves are no letters and vanish in the cut.
-    marks = F.contains(text, F.lit(NAME)) | F.contains(text, F.lit(NUMBER)) | F.contains(text, F.lit(UNIT))
-    plain = F.when(marks, F.translate(text, NAME + NUMBER + UNIT, "   ")).otherwise(text)
+    all_marks = NAME + NUMBER + UNIT + CAPITAL
+    marks = reduce(lambda a, b: a | b, [F.contains(text, F.lit(m)) for m in all_marks])
+    plain = F.when(marks, F.translate(text, all_marks, "    ")).otherwise(text)
     names = F.regexp_replace(
         plain, r"\p{Lu}(?<=[\p{Ll}\p{Nd},] \p{Lu})\p{Ll}+", NAME + "$0"
     )
+    capitals = F.regexp_replace(
+        names, rf"\p{{Lu}}(?<![\p{{L}}\p{{M}}\p{{Nd}}{NAME}]\p{{Lu}})[\p{{Ll}}\p{{M}}]+", CAPITAL + "$0"
+    )
     # One pass marks a number and the unit that may follow; a mark without a unit goes.
     numbers = F.regexp_replace(
-        F.lower(names),
+        F.lower(capitals),
         rf"(\p{{Nd}}++(?:[.,]\p{{Nd}}++)*+)(?: ?({'|'.join(UNITS)})(?![\p{{L}}\p{{Nd}}]))?",
         f" {NUMBER}$1 {UNIT}$2 ",
     )
     inner = F.regexp_replace(numbers, r"[.,](?!\p{Nd})", " ")
-    words = F.split(inner, rf"[^\p{{L}}\p{{M}}\p{{Nd}}{NAME}{NUMBER}{UNIT}.,]+")
+    words = F.split(inner, rf"[^\p{{L}}\p{{M}}\p{{Nd}}{all_marks}.,]+")
     return F.filter(words, lambda w: ~w.isin("", UNIT))
 
 
+def _form(words: Column, form: int) -> Column:
+    """The words of ``_cut`` in one of the forms."""
+    if form == BY_CONTEXT:
+        return F.transform(words, lambda w: F.ltrim(w, F.lit(CAPITAL)))
+    if form == ALL_CAPITALS:
+        return F.transform(words, lambda w: F.when(w.startswith(CAPITAL), F.translate(w, CAPITAL, NAME)).otherwise(w))
+
+    def bare(w: Column, i: Column) -> Column:
+        # A capitalised unit is one again.
+        value = F.substring(w, 2, 2**31 - 1)
+        unit = (i > 0) & F.get(words, i - 1).startswith(NUMBER) & value.isin(UNITS)
+        return F.when(
+            w.startswith(NAME), F.when(unit, F.concat(F.lit(UNIT), value)).otherwise(value)
+        ).otherwise(F.ltrim(w, F.lit(CAPITAL)))
+
+    return F.transform(words, bare)
+
+
+def marked_words(text: Column) -> Column:
+    """Words of a text; placeholders are a mark followed by their value."""
+    return _form(_cut(text), BY_CONTEXT)
+
+
 def _with_types(rows: DataFrame) -> DataFrame:
-    """Adds ``types``: a hash of every word, or of its mark alone."""
-    return rows.withColumn(
+    """A row for each ``form`` of the column ``cut``, with its ``words`` and ``types``: a
+    hash of every word, or of its mark alone."""
+    forms = [
+        F.struct(F.lit(form).alias("form"), _form(F.col("cut"), form).alias("words"))
+        for form in (BY_CONTEXT, ALL_CAPITALS, NO_NAMES)
+    ]
+    return rows.withColumn("one", F.explode(F.array(*forms))).drop("cut").select(
+        "*", "one.form", "one.words"
+    ).drop("one").withColumn(
         "types",
         F.transform(
             "words",
-            lambda w: F.when(w < "\u0005", F.xxhash64(F.substring(w, 1, 1))).otherwise(F.xxhash64(w)),
+            lambda w: F.when(w < CAPITAL, F.xxhash64(F.substring(w, 1, 1))).otherwise(F.xxhash64(w)),
         ),
     )
 
@@ -84,11 +125,13 @@ def _windows(rows: DataFrame, size: int, exact: bool) -> DataFrame:
     ``exact`` takes only rows of exactly ``size`` words, otherwise all windows.
     """
     enough = F.size("types") == size if exact else F.size("types") >= size
+    if size < WORDS:
+        enough &= F.col("form") != ALL_CAPITALS
     # A filter would be pushed below and make Spark cut the text twice.
     places = F.when(enough, F.sequence(F.lit(0), F.size("types") - size))
     placed = rows.withColumn("at", F.explode(places))
     types = [F.get("types", F.col("at") + k) for k in range(size)]
-    return placed.withColumn("hash", F.xxhash64(F.lit(size), *types))
+    return placed.withColumn("hash", F.xxhash64(F.lit(size), "form", *types))
 
 
 def benchmark_windows(
@@ -100,19 +143,20 @@ def benchmark_windows(
     rows = _with_types(
         benchmark.select(F.xxhash64(id_, text).alias("item"), id_.alias("name"), text.alias("text"))
         .dropDuplicates(["item"])
-        .select("item", "name", marked_words(F.col("text")).alias("words"))
+        .select("item", "name", _cut(F.col("text")).alias("cut"))
     )
     every = reduce(
         DataFrame.unionByName,
         [
             _windows(rows, size, exact=size < WORDS).select(
-                "item", "name", F.lit(size).alias("size"), "hash", "at",
+                "item", "name", "form", F.lit(size).alias("size"), "hash", "at",
                 F.slice("words", F.col("at") + 1, size).alias("own"),
             )
             for size in range(1, WORDS + 1)
         ],
     )
-    return every
+    plain = F.size(F.filter("own", lambda w: w >= CAPITAL))
+    return every.where((F.col("form") != ALL_CAPITALS) | (plain >= 2))
 
 
 def contaminations(
@@ -123,14 +167,14 @@ def contaminations(
     contaminates it, with the share of the item's windows found."""
     windows = settled(benchmark_windows(benchmark, item_col, item_text), "benchmark-windows")
     sizes = [r["size"] for r in windows.select("size").distinct().collect()]
-    totals = windows.groupBy("item").agg(F.countDistinct("hash").alias("windows"))
+    totals = windows.groupBy("item", "form").agg(F.countDistinct("hash").alias("windows"))
     hashes = settled(windows.select("hash").distinct(), "benchmark-hashes")
     if hashes.count() <= BROADCAST_ROWS:
         hashes = F.broadcast(hashes)
     text = whole(text_col)
     rows = _with_types(docs.select(
         F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("print"),
-        marked_words(text).alias("words"),
+        _cut(text).alias("cut"),
     ))
     hits = settled(
         reduce(
@@ -146,20 +190,20 @@ def contaminations(
         "window-hits",
     )
     # Items of which too little is there are left before slots are looked at.
-    which = ["id", "print", "item"]
-    of_items = windows.select("item", "hash", "at", "own")
+    which = ["id", "print", "item", "form"]
+    of_items = windows.select("item", "form", "hash", "at", "own")
     enough = (
         hits.select("id", "print", "hash").distinct()
-        .join(of_items.select("item", "hash").distinct(), "hash")
+        .join(of_items.select("item", "form", "hash").distinct(), "hash")
         .groupBy(*which).agg(F.count(F.lit(1)).alias("found"))
-        .join(totals, "item").where(F.col("found") >= F.col("windows") * SHARE)
+        .join(totals, ["item", "form"]).where(F.col("found") >= F.col("windows") * SHARE)
         .select(*which, "windows")
     )
     enough = settled(enough, "covered-items")
     aligned = hits.join(of_items, "hash").withColumn("shift", F.col("spot") - F.col("at"))
     near = aligned.alias("a").join(
         enough.alias("e"),
-        F.expr("a.id <=> e.id and a.print = e.print and a.item <=> e.item"),
+        F.expr("a.id <=> e.id and a.print = e.print and a.item = e.item and a.form = e.form"),
     ).select("a.*", "windows")
     pair = F.arrays_zip(F.col("own").alias("own"), F.col("seen").alias("seen"))
     slots = F.filter(
@@ -181,7 +225,9 @@ def contaminations(
     )
     with_clash = near.withColumn("slots", slots).alias("n").join(
         clash.alias("c"),
-        F.expr("n.id <=> c.id and n.print = c.print and n.item <=> c.item and n.shift = c.shift"),
+        F.expr(
+            "n.id <=> c.id and n.print = c.print and n.item = c.item and n.form = c.form and n.shift = c.shift"
+        ),
         "left",
     ).select("n.*", "bad_own", "bad_seen")
     true = with_clash.where(
