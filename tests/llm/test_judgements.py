@@ -241,6 +241,17 @@ def test_toxicity_with_few_labels(spark, docs, labels):
     assert toxicity.accepted(docs([]), spark.createDataFrame(labels, LABELS)).count() == 0
 
 
+def test_rows_of_one_id_do_not_outweigh_the_sample(spark, docs, monkeypatch):
+    seen = []
+    fitted = toxicity.fitted
+    monkeypatch.setattr(toxicity, "fitted", lambda *a: seen.append(a[2]) or fitted(*a))
+    items = [(1, f"text {i % 40}") for i in range(80)] + [(i, f"word {i}") for i in range(2, 6)]
+    known = spark.createDataFrame([(i, 1, i % 2) for i in range(1, 6)], LABELS)
+    for sample, want in ((5, 5), (20, 20), (100, 44)):
+        toxicity.train(docs(items), known, sample=sample)
+        assert seen.pop() == want
+
+
 def test_the_chain_feeds_out_of_fold_probabilities():
     rng = np.random.default_rng(0)
     first = rng.integers(0, 2, 400).astype(float)

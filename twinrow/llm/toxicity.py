@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.llm.common import by_bytes, thinned, words_of
+from twinrow.llm.common import by_bytes, settled, thinned, words_of
 
 #: Category and the condition on a label row that marks it.
 CATEGORIES = (("junk", "quality = 0"), ("toxic", "toxic = 1"))
@@ -184,9 +184,21 @@ def train(
     )
     rows = docs.select(F.col(f"`{id_col}`").alias("id"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    # At most ``sample`` rows of a few numbers, so the broadcast is bounded.
-    labelled = rows.join(F.broadcast(chosen), "id").select(
-        "text", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold"), *y
+    # At most ``sample`` rows of a few numbers, so the broadcasts are bounded.
+    keyed = rows.withColumn("print", F.xxhash64("text")).join(F.broadcast(chosen), "id")
+    keys = keyed.select("id", "print").distinct()
+    firsts = keys.groupBy("id").agg(F.min("print").alias("first"))
+    # Every id has one text before any has a second, so an id of many rows takes no other's place.
+    kept_keys = (
+        keys.join(F.broadcast(firsts), "id")
+        .orderBy(F.col("print") != F.col("first"), F.xxhash64("id", "print"), "id", "print").limit(sample)
+        .select("id", "print")
+    )
+    labelled = settled(
+        keyed.join(F.broadcast(kept_keys), ["id", "print"]).dropDuplicates(["id", "print"]).select(
+            "text", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold"), *y
+        ),
+        "labelled",
     )
     counts = [f"n{k}_{v}" for k in range(len(names)) for v in (0, 1)]
 
