@@ -22,8 +22,10 @@ from __future__ import annotations
 import codecs
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,11 @@ SPACE = "▁"
 LONG = 512
 #: Words merged at a time.
 AT_ONCE = 32_768
-#: Chunks whose ids are remembered within a task.
-REMEMBERED = 400_000
+#: Chunks whose ids are remembered within a task, and the bytes of chunks and ids.
+REMEMBERED = 100_000
+REMEMBERED_BYTES = 8_000_000
+#: Bytes of text that are encoded at a time.
+PIECE_BYTES = 1_000_000
 
 _NONE = np.int64(2**62)
 _RAW = 1 << 24  # Symbol of a character that is in no piece: this plus its code point.
@@ -66,6 +71,13 @@ class Model:
     surface_at: np.ndarray
     unknown: int
 
+    @cached_property
+    def by_key(self) -> dict[int, int]:
+        """Rank and what it makes, in one number, of every pair."""
+        used = np.flatnonzero(self.pairs >= 0)
+        both = self.rank[used] << 32 | self.merged[used]
+        return dict(zip(self.pairs[used].tolist(), both.tolist()))
+
     @staticmethod
     def load(path: str) -> Model:
         import sentencepiece
@@ -144,37 +156,45 @@ class Model:
 
 
 def _by_heap(model: Model, sym: np.ndarray) -> np.ndarray:
-    """The same merges for one long word: least rank first, then leftmost."""
-    sym = sym.tolist()
-    table = {
-        k: (r, m)
-        for k, r, m in zip(model.pairs.tolist(), model.rank.tolist(), model.merged.tolist())
-        if k >= 0
-    }
-    after = list(range(1, len(sym))) + [-1]
-    before = list(range(-1, len(sym) - 1))
-    heap: list[tuple[int, int, int, int, int]] = []
+    """The same merges for one long word: least rank first, then leftmost.
+
+    A heap entry is a rank and a place in one number. It holds as long as the pair
+    that now begins there has that rank.
+    """
+    n = len(sym)
+    table = model.by_key
+    sym = array("q", sym.tobytes())
+    after = array("q", range(1, n + 1))
+    before = array("q", range(-1, n - 1))
+    after[n - 1] = -1
+    ranks, _ = model.ranked(*(np.frombuffer(sym, np.int64)[k : n - 1 + k] for k in (0, 1)))
+    at = np.flatnonzero(ranks != _NONE)
+    heap = (ranks[at] << 32 | at).tolist()
+    heapq.heapify(heap)
 
     def offer(i: int) -> None:
         j = after[i]
-        if j >= 0 and (hit := table.get(sym[i] << 32 | sym[j])):
-            heapq.heappush(heap, (hit[0], i, sym[i], sym[j], hit[1]))
+        if j >= 0 and (hit := table.get(sym[i] << 32 | sym[j])) is not None:
+            heapq.heappush(heap, hit >> 32 << 32 | i)
 
-    for i in range(len(sym)):
-        offer(i)
     while heap:
-        _, i, a, b, made = heapq.heappop(heap)
+        entry = heapq.heappop(heap)
+        i = entry & 0xFFFFFFFF
         j = after[i]
-        if sym[i] != a or j < 0 or sym[j] != b:
+        if sym[i] < 0 or j < 0:
             continue
-        sym[i], sym[j] = made, -1
+        hit = table.get(sym[i] << 32 | sym[j])
+        if hit is None or hit >> 32 != entry >> 32:
+            continue
+        sym[i], sym[j] = hit & 0xFFFFFFFF, -1
         after[i] = after[j]
         if after[j] >= 0:
             before[after[j]] = i
         if before[i] >= 0:
             offer(before[i])
         offer(i)
-    return np.array([s for s in sym if s >= 0], np.int64)
+    left = np.frombuffer(sym, np.int64)
+    return left[left >= 0]
 
 
 def _rounds(model: Model, sym: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -289,7 +309,7 @@ def _chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 class Encoder:
-    """Encodes texts, remembering the chunks of a task."""
+    """Encodes texts, remembering chunks of a task up to ``REMEMBERED_BYTES``."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -300,13 +320,16 @@ class Encoder:
         self.flat = np.zeros(0, np.int32)
         self.begin = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
+        self.held = 0
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, flat, and how many each has."""
         chunks, first = _chunks(texts)
         unique = chunks.dictionary_encode()
         own = unique.dictionary.to_pylist()
-        if len(self.index) > REMEMBERED:
+        # What this piece may add is known before it is added.
+        full = len(self.index) + len(own) > REMEMBERED
+        if full or self.held + unique.dictionary.nbytes > REMEMBERED_BYTES:
             self._forget()
         index = self.index
         new = [w for w in own if w not in index]
@@ -318,10 +341,13 @@ class Encoder:
             self.begin = np.concatenate([self.begin, begin])
             self.size = np.concatenate([self.size, size])
             index.update(zip(new, range(len(index), len(index) + len(new))))
+            self.held += sum(map(len, new)) + flat.nbytes
         place = np.fromiter(map(index.__getitem__, own), np.int64, len(own))
         word = place[unique.indices.to_numpy()]
         size = self.size[word]
         ids = _gather(self.flat, self.begin[word], size)
+        if self.held > REMEMBERED_BYTES:
+            self._forget()
         return ids, np.diff(np.r_[0, np.cumsum(size)][first])
 
 
@@ -359,7 +385,7 @@ def encoded(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         encoder = Encoder(model)
-        for batch in by_bytes(batches, "text"):
+        for batch in by_bytes(batches, "text", PIECE_BYTES):
             ids, size = encoder.encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), _lists(ids, size), pa.array(decode_flat(model, ids, size))],
