@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +15,7 @@ from twinrow.session import settled
 
 __all__ = [
     "BROADCAST_ROWS", "Words", "bounded", "by_bytes", "settled", "slices", "table", "text_bytes",
-    "thinned", "whole", "words_of",
+    "thinned", "unused", "whole", "words_of",
 ]
 
 #: Rows of a few fixed-width columns that may be broadcast; about 16 MB.
@@ -31,6 +31,18 @@ def whole(text: str = "text") -> Column:
     return F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
 
+def unused(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be no column."""
+    taken = {c.lower() for c in columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A settled table of fixed-width rows, marked for broadcast if it is small.
 
@@ -112,9 +124,9 @@ def words_of(texts: pa.Array) -> Words:
 
 
 def by_bytes(
-    batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 4_000_000
+    batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 1_000_000
 ) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of few megabytes of text, which bounds what is held.
+    """The batches in pieces of about a megabyte of text, which bounds what is held.
 
     A row is never cut; one of more bytes is a piece of its own.
     """

@@ -8,7 +8,8 @@ partial aggregation before the shuffle, so a group of any size is one row a task
 
 A null text counts as empty. Of equal texts the row with the largest id stays; a
 null id is smaller than any other. Rows that repeat both id and text are one
-document: all have the same answer, and ``deduplicated`` returns one of them.
+document: all have the same answer, and ``deduplicated`` returns one of them. It
+keeps columns of any name, and hashes whole texts only where length and prefix repeat.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.llm.common import bounded, settled, whole
+from twinrow.llm.common import bounded, settled, unused, whole
 
 PREFIX = 64
 KEY = ["n_bytes", "prefix"]
@@ -31,32 +32,37 @@ def _prefix(text: Column) -> Column:
     return F.xxhash64(F.substring(text, 1, PREFIX))
 
 
-def _crowded(narrow: DataFrame) -> DataFrame:
-    """Pairs of length and prefix hash that more than one row has."""
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = whole(text_col)
+    return docs.select(
+        F.col(f"`{id_col}`").alias("id"), text.alias("t"),
+        _length(text).alias("n_bytes"), _prefix(text).alias("prefix"),
+    )
+
+
+def crowded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Pairs of length and prefix hash that more than one row has, as a settled table."""
+    narrow = settled(_rows(docs, id_col, text_col).select(*KEY), "lengths-and-prefixes")
     lengths = narrow.groupBy("n_bytes").count().where("count > 1").select("n_bytes")
     lengths = bounded(settled(lengths, "lengths"))
-    return (
+    found = (
         narrow.join(lengths, "n_bytes", "left_semi")
         .groupBy(*KEY).count().where("count > 1").select(*KEY)
     )
+    return settled(found, "crowded-prefixes")
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shared: DataFrame | None = None
+) -> DataFrame:
     """Digest, id that stays and rows of every text that occurs more than once.
 
-    ``twins`` is how many of the rows bear the id that stays.
+    ``twins`` is how many of the rows bear the id that stays. ``shared`` is
+    ``crowded`` of the same rows, if it is there already.
     """
-    text = whole(text_col)
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("t"))
-    narrow = settled(
-        rows.select(_length(F.col("t")).alias("n_bytes"), _prefix(F.col("t")).alias("prefix")),
-        "lengths-and-prefixes",
-    )
-    crowded = bounded(settled(_crowded(narrow), "crowded-prefixes"))
+    shared = crowded(docs, id_col, text_col) if shared is None else shared
     # The digest stands above the join, so only rows that survive it pay for it.
-    survivors = rows.select(
-        "id", "t", _length(F.col("t")).alias("n_bytes"), _prefix(F.col("t")).alias("prefix")
-    ).join(crowded, KEY, "left_semi")
+    survivors = _rows(docs, id_col, text_col).join(bounded(shared), KEY, "left_semi")
     counted = (
         survivors.select("id", F.sha2(F.col("t").cast("binary"), 256).alias("digest"))
         .groupBy("digest", "id").agg(F.count(F.lit(1)).alias("n"))
@@ -100,21 +106,32 @@ def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    found = groups(docs, id_col, text_col).withColumnsRenamed(
-        {c: f"__{c}" for c in ("digest", "keep_id", "group_size", "twins")}
+    """The rows that stay, with all their columns.
+
+    Only rows whose length and prefix repeat are hashed whole. The others get a key
+    that no digest equals, so a join by shuffle spreads them too.
+    """
+    shared = crowded(docs, id_col, text_col)
+    found = groups(docs, id_col, text_col, shared)
+    n_bytes, prefix, repeats, key, digest, keep_id, twins = unused(
+        docs.columns, "n_bytes", "prefix", "repeats", "key", "digest", "keep_id", "twins"
     )
-    digest = F.unhex(F.sha2(whole(text_col).cast("binary"), 256))
-    id_ = F.col(f"`{id_col}`")
+    text, id_ = whole(text_col), F.col(f"`{id_col}`")
+    shared = shared.select(
+        F.col("n_bytes").alias(n_bytes), F.col("prefix").alias(prefix), F.lit(True).alias(repeats)
+    )
+    found = found.select(
+        F.col("digest").alias(digest), F.col("keep_id").alias(keep_id), F.col("twins").alias(twins)
+    )
+    hashed = F.when(F.col(repeats), F.unhex(F.sha2(text.cast("binary"), 256)))
     kept = (
-        docs.withColumn("__of", digest)
-        .join(bounded(found), F.col("__of") == F.col("__digest"), "left")
-        .where(F.col("__digest").isNull() | id_.eqNullSafe(F.col("__keep_id")))
+        docs.withColumns({n_bytes: _length(text), prefix: _prefix(text)})
+        .join(bounded(shared), [n_bytes, prefix], "left")
+        .withColumn(key, F.coalesce(hashed, F.unhex(F.hex(prefix))))
+        .join(bounded(found), F.col(key) == F.col(digest), "left")
+        .where(F.col(digest).isNull() | id_.eqNullSafe(F.col(keep_id)))
     )
-    twins = found.where("__twins > 1")
-    if not twins.isEmpty():
-        alone = F.coalesce(F.col("__twins"), F.lit(1)) == 1
-        kept = kept.where(alone).unionByName(
-            kept.where(~alone).dropDuplicates(["__of"])
-        )
+    if not found.where(F.col(twins) > 1).isEmpty():
+        alone = F.coalesce(F.col(twins), F.lit(1)) == 1
+        kept = kept.where(alone).unionByName(kept.where(~alone).dropDuplicates([key]))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.llm.common import bounded, by_bytes, settled, slices, whole, words_of
+from twinrow.llm.common import bounded, by_bytes, settled, slices, unused, whole, words_of
 from twinrow.llm.components import components
 from twinrow.llm.xxh64 import xxh64
 
@@ -299,15 +299,16 @@ def representatives(
     """The rows with all columns of one document a component, that of the smallest id.
 
     Rows of that id that are linked to each other are one document and all stay;
-    so do rows without an id in a component without any.
+    so do rows without an id in a component without any. Columns may have any name.
     """
     found = _placed(docs, id_col, text_col, distance)
+    gone_id, gone_print = unused(docs.columns, "gone_id", "gone_print")
     gone = settled(
         found.where(~F.col("id").eqNullSafe(F.col("component_id")))
-        .select(F.col("id").alias("__id"), F.col("print").alias("__print")).distinct(),
+        .select(F.col("id").alias(gone_id), F.col("print").alias(gone_print)).distinct(),
         "near-duplicates",
     )
-    same = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("__id")) & (
-        F.xxhash64(whole(text_col)) == F.col("__print")
+    same = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col(gone_id)) & (
+        F.xxhash64(whole(text_col)) == F.col(gone_print)
     )
     return docs.join(bounded(gone), same, "left_anti")
