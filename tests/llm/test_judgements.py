@@ -68,7 +68,7 @@ def plain_contaminations(items, benchmark):
             good = set()
             for pairs in lanes.values():
                 slots = {(p, q) for x, y in pairs for p, q in zip(x, y) if p[0] in "\u0002\u0003\u0004"}
-                if len({p for p, _ in slots}) == len({q for _, q in slots}) == len(slots):
+                if len({p for p, _ in slots}) == len(slots):
                     good |= {types(x) for x, _ in pairs}
             if len(good) >= 0.8 * len(total):
                 found.add((i, item))
@@ -93,7 +93,7 @@ def test_marked_words_equal_the_plain_form(spark):
 def test_contaminations_equal_brute_force(spark, docs):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     want = plain_contaminations(LEAKY, ITEMS)
-    assert {(1, 10), (2, 10), (7, 11), (9, 10)} <= want and not {3, 4, 8} & {i for i, _ in want}
+    assert {(1, 10), (2, 10), (3, 10), (7, 11), (9, 10)} <= want and not {4, 8} & {i for i, _ in want}
     got = leaks.contaminations(docs(LEAKY), benchmark)
     assert {(r.id, r.item) for r in got.collect()} == want
     flagged = leaks.marked(docs(LEAKY), benchmark)
@@ -133,6 +133,12 @@ def test_an_edited_number_takes_out_its_windows_only(spark, docs):
     assert leaked(spark, docs, texts, [(1, PASSAGE)]) == {0: [1], 1: [1]}
 
 
+def test_two_values_may_become_one_but_not_one_two(spark, docs):
+    texts = [QUESTION.format(n="Ann", a=a, b=b) for a, b in ((6, 8), (6, 6))]
+    texts.append(texts[0].replace("feed 8", "feed 9").replace("walks 6", "walks 4"))
+    assert leaked(spark, docs, texts, ITEMS[:1]) == {0: [10], 1: [10]}
+
+
 def test_benchmark_rows_without_id_or_with_the_same(spark, docs):
     other = "seven grey geese walk along the frozen canal towards the lamp of the ferryman who sleeps in his boat"
     texts = [PASSAGE, other, "neither of the two"]

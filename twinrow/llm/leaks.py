@@ -17,8 +17,8 @@ only hits are shuffled. A larger benchmark is joined by shuffle.
 **Slots.** Hits of a document and an item that lie at the same offset form an
 alignment. A re-parameterised question has every value replaced the same way
 throughout: windows with a value of the item that stands for two of the document in
-the alignment, or the other way round, do not count, unless all their values are
-unchanged.
+the alignment do not count, unless all their values are unchanged. Two values of the
+item may both become the same one.
 
 **Verdict.** A document is contaminated by an item if its remaining alignments
 hold at least ``SHARE`` of the item's distinct windows.
@@ -36,7 +36,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.llm.common import BROADCAST_ROWS, settled, whole
+from twinrow.llm.common import BROADCAST_ROWS, settled, unused, whole
 
 WORDS = 5
 SHARE = 0.8
@@ -215,13 +215,8 @@ def contaminations(
     lane = [*which, "shift"]
     values = near.select(*lane, F.explode(slots).alias("slot")).select(*lane, "slot.*").distinct()
     clash = (
-        values.groupBy(*lane, "own").count().where("count > 1").select(*lane, "own", F.lit(None).cast("string").alias("seen"))
-        .unionByName(
-            values.groupBy(*lane, "seen").count().where("count > 1")
-            .select(*lane, F.lit(None).cast("string").alias("own"), "seen")
-        )
-        .groupBy(*lane)
-        .agg(F.collect_set("own").alias("bad_own"), F.collect_set("seen").alias("bad_seen"))
+        values.groupBy(*lane, "own").count().where("count > 1")
+        .groupBy(*lane).agg(F.collect_set("own").alias("bad"))
     )
     with_clash = near.withColumn("slots", slots).alias("n").join(
         clash.alias("c"),
@@ -229,14 +224,11 @@ def contaminations(
             "n.id <=> c.id and n.print = c.print and n.item = c.item and n.form = c.form and n.shift = c.shift"
         ),
         "left",
-    ).select("n.*", "bad_own", "bad_seen")
+    ).select("n.*", "bad")
     true = with_clash.where(
-        F.col("bad_own").isNull()
+        F.col("bad").isNull()
         | F.forall("slots", lambda p: p["own"] == p["seen"])
-        | ~F.exists(
-            "slots",
-            lambda p: F.array_contains("bad_own", p["own"]) | F.array_contains("bad_seen", p["seen"]),
-        )
+        | ~F.exists("slots", lambda p: F.array_contains("bad", p["own"]))
     )
     covered = (
         true.groupBy(*which, "windows").agg(F.countDistinct("hash").alias("found"))
@@ -278,7 +270,7 @@ def marked(
 def clean(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
-    """The rows that are not contaminated, with all their columns."""
+    """The rows that are not contaminated, with all their columns, of any name."""
     found = settled(
         contaminations(docs, benchmark, id_col, text_col, **options).select("id", "print").distinct(),
         "contaminated",
@@ -286,7 +278,8 @@ def clean(
     if found.count() <= BROADCAST_ROWS:
         found = F.broadcast(found)
     id_, text = F.col(f"`{id_col}`"), whole(text_col)
-    gone = found.select(F.col("id").alias("__id"), F.col("print").alias("__print"))
+    gone_id, gone_print = unused(docs.columns, "gone_id", "gone_print")
+    gone = found.select(F.col("id").alias(gone_id), F.col("print").alias(gone_print))
     return docs.join(
-        gone, id_.eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__print")), "left_anti"
+        gone, id_.eqNullSafe(F.col(gone_id)) & (F.xxhash64(text) == F.col(gone_print)), "left_anti"
     )
