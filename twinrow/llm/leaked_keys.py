@@ -29,6 +29,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 
@@ -234,6 +235,12 @@ def _is_pem_body(body: str) -> bool:
     return is_private_der(raw) or is_key_fields(raw)
 
 
+def _within(blocks: list[tuple[int, int]], place: int) -> bool:
+    """Whether a place lies in one of the blocks, which are in order and apart."""
+    at = bisect_right(blocks, place, key=lambda b: b[0])
+    return at > 0 and place < blocks[at - 1][1]
+
+
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans whose decoded content parses, in order of start."""
     found = []
@@ -242,17 +249,19 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
             if "eyJ" in m[0]:
                 found += [("jwt", m.start() + a, m.start() + b) for a, b in _tokens(m[0])]
     blocks = []
-    for m in _BEGIN.finditer(text) if "-----BEGIN " in text else ():
+    begins = list(_BEGIN.finditer(text)) if "-----BEGIN " in text else []
+    # A block ends before the next one begins, so no stretch is read twice.
+    for m, limit in zip(begins, [*(m.start() for m in begins[1:]), len(text)]):
         close = f"-----END {m[1]}-----"
-        end = text.find(close, m.end())
+        end = text.find(close, m.end(), limit)
         if end >= 0 and _is_pem_body(text[m.end() : end]):
             blocks.append((m.start(), end + len(close)))
     found += [("pem", *b) for b in blocks]
-    joined = [w for w in _wrapped(text) if not any(a <= w[1] < b for a, b in blocks)]
+    joined = [w for w in _wrapped(text) if not _within(blocks, w[1])]
     found += joined
-    blocks += [w[1:] for w in joined]
+    blocks = sorted(blocks + [w[1:] for w in joined])
     for m in _ENCODED.finditer(text):
-        if any(a <= m.start() < b for a, b in blocks):
+        if _within(blocks, m.start()):
             continue
         kind = _key_kind(m[0])
         if kind:

@@ -24,7 +24,9 @@ Null texts count as empty. With no documents there is nothing to train on or to
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -87,7 +89,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not _DIGIT.search(text):
         return found
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        # Leading zeros go first: a number of thousands of digits is no number to int.
+        parts = [p.lstrip("0") or "0" for p in m[0].split(".")]
+        if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = re.sub("[^0-9]", "", m[0])
@@ -128,7 +132,7 @@ def reconciled(found: list[tuple[str, int, int, float]]) -> list[tuple[str, int,
     best = [0.0]
     take = []
     for i, s in enumerate(order):
-        before = int(np.searchsorted(ends[:i], s[1], side="right"))
+        before = bisect_right(ends, s[1], hi=i)
         with_it = best[before] + total[s]
         take.append((with_it > best[i], before))
         best.append(max(best[i], with_it))
@@ -143,6 +147,21 @@ def reconciled(found: list[tuple[str, int, int, float]]) -> list[tuple[str, int,
     return chosen[::-1]
 
 
+def free_of(
+    spans_: list[tuple[str, int, int]], taken: list[tuple[str, int, int]]
+) -> list[tuple[str, int, int]]:
+    """The spans that touch none of the others, found by bisection."""
+    order = sorted((s[1], s[2]) for s in taken)
+    starts = [start for start, _ in order]
+    reach = list(accumulate((end for _, end in order), max))
+    found = []
+    for s in spans_:
+        before = bisect_left(starts, s[2])
+        if not before or reach[before - 1] <= s[1]:
+            found.append(s)
+    return found
+
+
 def _runs(tags: np.ndarray) -> list[tuple[int, int, int]]:
     """Kind, start and end of the marked runs of one window."""
     found, at = [], 0
@@ -341,8 +360,7 @@ def personal_data(
             out = []
             for text, own in zip(texts, more):
                 base = base_spans(text)
-                free = [s for s in own if not any(s[1] < b[2] and b[1] < s[2] for b in base)]
-                out.append([(*s, True) for s in base] + [(*s, False) for s in free])
+                out.append([(*s, True) for s in base] + [(*s, False) for s in free_of(own, base)])
             return out
 
         return find
