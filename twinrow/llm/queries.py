@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from twinrow.llm import (
-    exact, leaked_keys, leaks, maxent, pieces, pii, shards, simhash, spans, toxicity, url_rules,
+    exact, leaked_keys, leaks, maxent, mixing, pieces, pii, shards, simhash, spans, toxicity, url_rules,
 )
 from twinrow.llm.common import table
 
@@ -56,11 +56,15 @@ def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.judged(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii, op2_leaks, op3_shards, op4_pieces, op5_simhash, op6_url_rules, op7_toxicity,
-        op8_leaked_keys, op9_exact_dedup, op10_maxent,
+        op8_leaked_keys, op9_exact_dedup, op10_maxent, op11_mixing,
     )
 }
 
@@ -129,4 +133,27 @@ SQL: dict[str, str] = {
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
     "op6_url_rules": _url_sql(),
+    "op11_mixing": f"""
+WITH rows AS (SELECT doc_id, source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, {mixing.DIGITS})
+      AS BIGINT) AS place FROM documents),
+sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) AS nth FROM rows GROUP BY source),
+weighed AS (SELECT *, {list(mixing.WEIGHTS)}[(nth - 1) % {len(mixing.WEIGHTS)} + 1] AS weight,
+    {mixing.MOST} * source_size AS most FROM sizes),
+levels AS (SELECT *, ({mixing.SHARE} * sum(source_size) OVER () - (sum(most) OVER filled - most))
+    / (sum(weight) OVER () - (sum(weight) OVER filled - weight)) AS level FROM weighed
+  WINDOW filled AS (ORDER BY most / weight, nth ROWS UNBOUNDED PRECEDING)),
+wanted AS (SELECT source, source_size,
+    least(CAST(most AS DOUBLE), weight * CAST((SELECT max(level) FROM levels) AS DOUBLE)) AS target FROM levels),
+budgets AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS times
+  FROM wanted),
+sums AS (SELECT rows.*, source_size, target, times, target - times * source_size AS rest,
+    sum(size) OVER (PARTITION BY rows.source ORDER BY place) AS reach,
+    sum(size) OVER (PARTITION BY rows.source, place) AS own
+  FROM rows JOIN budgets ON rows.source IS NOT DISTINCT FROM budgets.source)
+SELECT doc_id, size, source_size, target, CAST(size * (times +
+    CASE WHEN reach <= rest OR reach - rest < rest - (reach - own) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM sums""",
 }
