@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from twinrow.llm import (
-    alignment, exact, leaked_keys, leaks, maxent, mixing, pieces, pii, shards, simhash, spans, toxicity, url_rules,
+    alignment, exact, leaked_keys, leaks, maxent, mixing, pieces, pii, shards, simhash, spans, spelling, toxicity,
+    url_rules,
 )
 from twinrow.llm.common import table
 
@@ -60,6 +61,10 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.judged(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -71,7 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_pii, op2_leaks, op3_shards, op4_pieces, op5_simhash, op6_url_rules, op7_toxicity,
         op8_leaked_keys, op9_exact_dedup, op10_maxent, op11_mixing,
-        op13_alignment,
+        op12_spelling, op13_alignment,
     )
 }
 
