@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinrow.llm import pieces
-from twinrow.llm.common import bounded, by_bytes, settled, text_bytes, whole
+from twinrow.llm.common import bounded, by_bytes, in_batches, settled, text_bytes, whole
 
 #: Distinct pairs whose counts are sent to all tasks; twelve bytes each.
 PAIRS = 2_000_000
@@ -329,7 +329,7 @@ def _measured_by_lookup(texts: DataFrame, counts: DataFrame) -> DataFrame:
             )
 
     some = texts.where(F.size("pairs") > 0).select("digest", "pairs", "links")
-    return some.mapInArrow(look, "digest binary, n_best bigint, count_sum bigint")
+    return in_batches(some, look, "digest binary, n_best bigint, count_sum bigint")
 
 
 def _measured_by_join(texts: DataFrame, counts: DataFrame) -> DataFrame:
@@ -373,13 +373,13 @@ def distinct_aligned(docs: DataFrame, ranks_path: str, model_path: str, text_col
         "digest binary, copies bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
         "groups_sha256 string, pairs array<bigint>, links array<int>"
     )
-    return settled(distinct.mapInArrow(align, schema), "aligned-texts")
+    return settled(in_batches(distinct, align, schema), "aligned-texts")
 
 
 def pair_counts(texts: DataFrame) -> DataFrame:
     """Documents corpus-wide of every pair of ids, as a settled table."""
     seen = texts.where(F.size("pairs") > 0).select("copies", "pairs")
-    counts = seen.mapInArrow(_counted, "pair bigint, n bigint")
+    counts = in_batches(seen, _counted, "pair bigint, n bigint")
     return settled(counts.groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,14 +11,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from twinrow.session import settled
 
 __all__ = [
-    "BROADCAST_ROWS", "Words", "bounded", "by_bytes", "settled", "slices", "table", "text_bytes",
+    "BROADCAST_ROWS", "Words", "bounded", "by_bytes", "in_batches", "settled", "slices", "table", "text_bytes",
     "thinned", "unused", "whole", "words_of",
 ]
 
+#: Bytes of rows sent to a Python worker at a time.
+BATCH_BYTES = 4_000_000
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows of a few fixed-width columns that may be broadcast; about 16 MB.
 BROADCAST_ROWS = 1_000_000
 
@@ -123,6 +128,22 @@ def words_of(texts: pa.Array) -> Words:
     return Words(data, place[starts], place[np.flatnonzero(closed)] + 1, first)
 
 
+def in_batches(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``BATCH_BYTES``, however long the rows are.
+
+    Spark has only a setting of the session for this. It bounds what both sides of
+    the exchange hold and changes no result; a smaller one of the user stays.
+    """
+    conf = df.sparkSession.conf
+    now = re.fullmatch(r"(-?\d+)([kmg]?)b?", conf.get(_BATCH, "64m").lower())
+    held = int(now[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[now[2]] if now else -1
+    if not 0 < held <= BATCH_BYTES:
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def by_bytes(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 1_000_000
 ) -> Iterator[pa.RecordBatch]:

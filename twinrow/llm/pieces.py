@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.llm.common import by_bytes, text_bytes
+from twinrow.llm.common import by_bytes, in_batches, text_bytes
 
 SPACE = "▁"
 #: Words of more characters are merged by a heap.
@@ -395,7 +395,7 @@ def encoded(
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("id"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = rows.mapInArrow(encode, f"id {kind}, ids array<int>, decoded string")
+    out = in_batches(rows, encode, f"id {kind}, ids array<int>, decoded string")
     return out.select(F.col("id").alias(id_col), "ids", "decoded")
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinrow.llm import lstm, spans
-from twinrow.llm.common import by_bytes, thinned
+from twinrow.llm.common import by_bytes, in_batches, thinned
 
 KINDS = ("email", "ip", "card", "phone")
 LENGTH = 64
@@ -331,7 +331,7 @@ def contexts_of(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -
             yield pa.RecordBatch.from_arrays([pa.array([c for c in out if c.strip()], pa.string())], ["cut"])
 
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
-    cuts = thinned(texts, F.col("text"), sample).mapInArrow(cut, "cut string")
+    cuts = in_batches(thinned(texts, F.col("text"), sample), cut, "cut string")
     rows = cuts.orderBy(F.xxhash64("cut"), "cut").limit(sample).collect()
     return [r["cut"] for r in rows]
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.llm.common import bounded, by_bytes, settled, slices, unused, whole, words_of
+from twinrow.llm.common import bounded, by_bytes, in_batches, settled, slices, unused, whole, words_of
 from twinrow.llm.components import components
 from twinrow.llm.xxh64 import xxh64
 
@@ -217,7 +217,7 @@ def linked(nodes: DataFrame, distance: int = DISTANCE, slabs: int | None = None)
                         ["cell", "fp", "node"],
                     )
 
-    dealt = nodes.mapInArrow(cells, "cell bigint, fp bigint, node bigint")
+    dealt = in_batches(nodes, cells, "cell bigint, fp bigint, node bigint")
     sizes = dealt.groupBy("cell").count().where(F.col("count") > BLOCK)
     crowded = settled(
         sizes.select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")),
@@ -238,7 +238,7 @@ def linked(nodes: DataFrame, distance: int = DISTANCE, slabs: int | None = None)
             .alias("cell"), "fp", "node",
         )
     at_home = dealt.repartition("cell").sortWithinPartitions("cell")
-    return at_home.mapInArrow(lambda batches: _links(batches, distance), "a bigint, b bigint")
+    return in_batches(at_home, lambda batches: _links(batches, distance), "a bigint, b bigint")
 
 
 def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,7 +258,7 @@ def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.xxhash64(whole(text_col)).alias("print"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
     )
-    return rows.mapInArrow(prints, "id bigint, print bigint, fp bigint")
+    return in_batches(rows, prints, "id bigint, print bigint, fp bigint")
 
 
 def _placed(docs: DataFrame, id_col: str, text_col: str, distance: int) -> DataFrame:

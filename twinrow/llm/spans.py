@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.llm.common import by_bytes
+from twinrow.llm.common import by_bytes, in_batches
 
 Span = tuple[str, int, int]
 SPAN_TYPE = "array<struct<kind string, start bigint, end bigint, base boolean>>"
@@ -44,7 +44,7 @@ def scanned(
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    return rows.mapInArrow(scan, f"id {kind}, spans {SPAN_TYPE}").select(
+    return in_batches(rows, scan, f"id {kind}, spans {SPAN_TYPE}").select(
         F.col("id").alias(id_col), "spans"
     )
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinrow.llm.common import by_bytes, settled, thinned, words_of
+from twinrow.llm.common import by_bytes, in_batches, settled, thinned, words_of
 
 #: Category and the condition on a label row that marks it.
 CATEGORIES = (("junk", "quality = 0"), ("toxic", "toxic = 1"))
@@ -213,7 +213,7 @@ def train(
                     columns.append(pa.array(n, pa.int64()))
             yield pa.RecordBatch.from_arrays(columns, ["feature", *counts])
 
-    seen = labelled.mapInArrow(count, "feature string, " + ", ".join(f"{c} bigint" for c in counts))
+    seen = in_batches(labelled, count, "feature string, " + ", ".join(f"{c} bigint" for c in counts))
     summed = seen.groupBy("feature").agg(*[F.sum(c).alias(c) for c in counts])
     totals = labelled.agg(
         *[F.count_if(F.col(f"y{k}") == v).alias(f"n{k}_{v}") for k in range(len(names)) for v in (0, 1)]
@@ -243,8 +243,8 @@ def train(
                 ["has", "fold", *y],
             )
 
-    kept = labelled.mapInArrow(
-        pick, "has array<bigint>, fold int, " + ", ".join(f"{c} int" for c in y)
+    kept = in_batches(
+        labelled, pick, "has array<bigint>, fold int, " + ", ".join(f"{c} int" for c in y)
     ).toArrow()
     has = kept["has"].combine_chunks()
     size = np.diff(has.offsets.to_numpy()) if len(has) else np.zeros(0, np.int64)
@@ -277,8 +277,8 @@ def scored(
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("id"),
                        F.col(f"`{text_col}`").cast("string").alias("text"))
-    return rows.mapInArrow(
-        score, f"id {kind}, " + ", ".join(f"{c} double" for c in columns)
+    return in_batches(
+        rows, score, f"id {kind}, " + ", ".join(f"{c} double" for c in columns)
     ).withColumnRenamed("id", id_col)
 
 
@@ -308,4 +308,4 @@ def accepted(docs: DataFrame, labels: DataFrame, text_col: str = "text", **optio
             p = own.probabilities(batch.num_rows, text, feature)
             yield batch.filter(pa.array(p[:, reject] < THRESHOLD))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return in_batches(docs, keep, docs.schema)
