@@ -62,3 +62,25 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     folder = run_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _file_system(spark: SparkSession, path: str):
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return own, own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in any store that Spark reads."""
+    own, files = _file_system(spark, path)
+    return files.exists(own)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder the library made, with what it holds."""
+    own, files = _file_system(spark, path)
+    files.delete(own, True)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    own, files = _file_system(spark, path)
+    return files.getContentSummary(own).getLength() if files.exists(own) else 0
