@@ -13,12 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from twinrow.operators.agreement import mismatch_ids, mismatch_pairs
+from twinrow.operators.diff import diff_report
 from twinrow.operators.hashing import hash_both, hash_rows
 from twinrow.operators.profile import drop_blank
 from twinrow.operators.windows import WIDTH
 from twinrow.operators.words import word_count
 from twinrow.sources import sinks, topics
 from twinrow.sources.files import read_csv_rows, read_lines
+from twinrow.streaming.bounded import (
+    finish_window_report, start_bounded_reconcile, start_window_report,
+)
 from twinrow.streaming.running import start_reconcile, start_window_diff
 
 # The columns of a CSV row, the labels it is rendered with, the
@@ -55,6 +59,16 @@ def compare_csv(
     return found
 
 
+def report_csv(
+    spark: SparkSession, left: str, right: str, output: str | None = None,
+    fields: Sequence[str] = ("name", "val"), key_fields: Sequence[str] = KEY_FIELDS,
+) -> DataFrame:
+    """Differing fields of two CSV files, in two phases: one line per differing value."""
+    found = diff_report(*[read_csv_rows(spark, path, ROW) for path in (left, right)], fields, key_fields)
+    _emit(found, output)
+    return found
+
+
 def _clean(
     rows: DataFrame, columns: Sequence[str], rule: str, output: str | None, write
 ) -> dict[str, object]:
@@ -111,20 +125,23 @@ def reconcile_topics(
     spark: SparkSession, servers: str, left_topic: str, right_topic: str, out_topic: str,
     path: str, checkpoint: str, fields: Sequence[str] = FIELDS,
     key_fields: Sequence[str] = KEY_FIELDS, case_id: int = 1, run_id: int = 1,
-    strict: bool = True,
+    strict: bool = True, envelope: bool = False, bounded: bool = False,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Hash two topics, pass the hash records on and keep what is outstanding.
 
-    Without ``strict`` malformed records take part by their whole text.
+    Without ``strict`` malformed records take part by their whole text. With
+    ``bounded`` records that cancelled out leave the state, and
+    ``outstanding_records`` reads the rest.
     """
     left, right = (
-        topics.read_json_topic(spark, servers, t, strict=strict) for t in (left_topic, right_topic)
+        topics.read_json_topic(spark, servers, t, envelope, strict) for t in (left_topic, right_topic)
     )
     hashed = hash_both(left, right, fields, key_fields, case_id, run_id)
     passed = topics.write_json_topic(
         topics.encode_hashes(hashed), servers, out_topic, f"{checkpoint}/passed"
     )
-    return passed, start_reconcile(hashed, path, f"{checkpoint}/reconcile")
+    start = start_bounded_reconcile if bounded else start_reconcile
+    return passed, start(hashed, path, f"{checkpoint}/reconcile")
 
 
 def report_topics(
@@ -132,16 +149,32 @@ def report_topics(
     path: str, checkpoint: str, left_fields: Sequence[str] = FIELDS,
     right_fields: Sequence[str] = FIELDS, key_fields: Sequence[str] = KEY_FIELDS,
     right_key_fields: Sequence[str] | None = None, width: str = WIDTH, delay: str = WIDTH,
-    strict: bool = True,
+    strict: bool = True, envelope: bool = False, keep_late: bool = False, text: bool = False,
 ) -> StreamingQuery:
     """Report the differing fields of two topics, window by window.
 
-    Without ``strict`` malformed records take part by their whole text.
+    Without ``strict`` malformed records take part by their whole text. With
+    ``keep_late`` records behind the watermark are kept for ``finish_report``, and
+    with ``text`` too the report is also written as lines.
     """
     left, right = (
-        topics.read_json_topic(spark, servers, t, strict=strict) for t in (left_topic, right_topic)
+        topics.read_json_topic(spark, servers, t, envelope, strict) for t in (left_topic, right_topic)
     )
-    return start_window_diff(
+    if text and not keep_late:
+        raise ValueError("the report is written as lines only together with keep_late")
+    start, more = (start_window_report, {"text": text}) if keep_late else (start_window_diff, {})
+    return start(
         left, right, left_fields, key_fields, path, checkpoint, width=width, delay=delay,
-        right_fields=right_fields, right_key_fields=right_key_fields,
+        right_fields=right_fields, right_key_fields=right_key_fields, **more,
     )
+
+
+def finish_report(
+    spark: SparkSession, path: str, output: str | None = None,
+    left_fields: Sequence[str] = FIELDS, right_fields: Sequence[str] | None = None,
+) -> DataFrame:
+    """The corrected report of a stopped ``report_topics`` with ``keep_late``: windows still
+    open, and those that late records belong to, included."""
+    found = finish_window_report(spark, path, left_fields, right_fields)
+    _emit(found, output)
+    return found

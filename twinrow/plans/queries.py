@@ -1,7 +1,7 @@
 """The registered queries, each with the SQL that must give the same rows.
 
-Every query reads whole tables. ``SQL`` lacks a query where plain SQL has no
-equal.
+Every query reads whole tables; those whose two sides are clicks and views keep the
+events of these types. ``SQL`` lacks a query where plain SQL has no equal.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from twinrow.operators import agreement, diff, hashing, profile, reconcile, wind
 from twinrow.plans import jobs, tables
 from twinrow.session import run_folder
 from twinrow.sources import files, sinks, topics
-from twinrow.streaming import running
+from twinrow.streaming import bounded, running
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -587,9 +587,13 @@ def _event_streams(spark: SparkSession, folder: str) -> list[DataFrame]:
 
 
 def _event_copies(spark: SparkSession, folder: str) -> list[DataFrame]:
-    """All events and a faulty copy of all, as two streams of records: views of little
-    value are lost, clicks of little value have other props."""
-    events = _event_stream(spark, folder)
+    """All events and a faulty copy of all, as two streams of records."""
+    return _copies(_event_stream(spark, folder))
+
+
+def _copies(events: DataFrame) -> list[DataFrame]:
+    """Events as records, and a faulty copy: views of little value are lost, clicks of
+    little value have other props."""
     copy = events.where(f"not ({LOST_EVENTS})").withColumn(
         "props", F.when(F.expr(OTHER_EVENTS), F.lit('{"k": -1}')).otherwise(F.col("props"))
     )
@@ -684,6 +688,48 @@ def stream_window_diff(spark: SparkSession, folder: str) -> DataFrame:
     return _shown_report(running.window_report(spark, f"{run}/out"))
 
 
+def _in_parts(spark: SparkSession, folder: str, path: str, parts: int = 4) -> DataFrame:
+    """The events table as a stream that gets it in shuffled parts, each a batch."""
+    events = tables.table(spark, folder, "events")
+    events.repartition(parts, F.xxhash64("event_id")).write.parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query(SQL["stream_reconcile"])
+def stream_reconcile_bounded(spark: SparkSession, folder: str) -> DataFrame:
+    """Reconciliation of a stream in several batches, whose state holds what is outstanding."""
+    run = run_folder(spark, "stream-reconcile-bounded")
+    events = _in_parts(spark, folder, f"{run}/in")
+    hashed = hashing.hash_both(
+        *_copies(events), STREAM_FIELDS, STREAM_KEYS, case_id=1, run_id=2
+    )
+    _finished(
+        bounded.start_bounded_reconcile(
+            hashed, f"{run}/out", f"{run}/checkpoint", fan_in=2, availableNow=True
+        )
+    )
+    return bounded.outstanding_records(spark, f"{run}/out")
+
+
+@query(_window_report_sql())
+def stream_window_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Window report of events that arrive shuffled, so that most come behind the
+    watermark, corrected by the late records that were kept."""
+    run = run_folder(spark, "stream-window-late")
+    events = _in_parts(spark, folder, f"{run}/in")
+    sides = [
+        topics.decode_json(tables.event_messages(events.where(F.col("event_type") == kind)))
+        for kind in ("click", "view")
+    ]
+    _finished(
+        bounded.start_window_report(
+            *sides, DIFF_FIELDS, STREAM_KEYS, f"{run}/out", f"{run}/checkpoint",
+            width=HOUR, delay=DELAY, fan_in=2, availableNow=True,
+        )
+    )
+    return _shown_report(bounded.finish_window_report(spark, f"{run}/out", DIFF_FIELDS))
+
+
 # ------------------------------------------------------------ files and jobs
 
 
