@@ -8,6 +8,8 @@ spread by key and value, so a key with many rows does not land on one task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +32,14 @@ def outstanding(nets: DataFrame) -> DataFrame:
 
 def outstanding_status(nets: DataFrame) -> DataFrame:
     """Class of every key that still has outstanding records."""
+    return left_over(nets, KEY)
+
+
+def left_over(nets: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Records left on each side of every key that has any, and the key's class."""
     return (
         outstanding(nets)
-        .groupBy(*KEY)
+        .groupBy(*on)
         .agg(
             F.sum(F.greatest("net", F.lit(0))).alias("left_left"),
             F.sum(F.greatest(-F.col("net"), F.lit(0))).alias("right_left"),

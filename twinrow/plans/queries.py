@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinrow.functions import render
-from twinrow.operators import agreement, diff, hashing, profile, reconcile, windows, words
+from twinrow.operators import (
+    agreement, diff, hash_tree, hashing, key_filter, profile, reconcile, windows, words,
+)
 from twinrow.plans import jobs, tables
 from twinrow.session import run_folder
 from twinrow.sources import files, sinks, topics
@@ -241,6 +243,16 @@ def keep_keys(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(SQL["keep_keys"])
+def keep_keys_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows, most others dropped at the scan by the bits of the key set."""
+    left, right = _both_hashes(spark, folder)
+    keys = agreement.classify(left, right).where("status = 'VALUE_MISMATCH'")
+    return key_filter.keep_keys_filtered(tables.orders_copy(spark, folder), keys, ["id"]).select(
+        *tables.ID_FIELDS
+    )
+
+
 # ------------------------------------------------------------ fields that differ
 
 
@@ -324,6 +336,37 @@ def reconcile_status(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LEFT_OVER = """
+select key_hash, cast(sum(greatest(net, 0)) as bigint) as left_left,
+  cast(sum(greatest(-net, 0)) as bigint) as right_left,
+  case when max(net) > 0 and min(net) < 0 then 'VALUE_MISMATCH'
+    when max(net) > 0 then 'LEFT_ONLY' else 'RIGHT_ONLY' end as status
+from nets where net <> 0 group by key_hash"""
+
+
+@query(f"""
+with {ORDERS.split("c as (")[0]}
+r as (select k as id, case when t between 250000 and 250500 then 'OTHER' else p end as name,
+  cast(cast(t as decimal(18,2)) as varchar) as val from base),
+{HASHES}, {NETS} {LEFT_OVER}""")
+def hash_tree_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders against a copy of which a thousandth differs, range by range of the keys."""
+    sides = [
+        hashing.hash_rows(rows, tables.ID_FIELDS, ["id"])
+        for rows in (tables.orders(spark, folder), tables.orders_nearly(spark, folder))
+    ]
+    return hash_tree.differences(*sides)
+
+
+@query(f"with {ORDERS}, {HASHES}, {NETS} {LEFT_OVER}")
+def stored_run_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """Two stored runs of hash records compared by their digests."""
+    run = run_folder(spark, "stored-runs")
+    for name, hashed in zip(("left", "right"), _both_hashes(spark, folder)):
+        hash_tree.store(hashed, f"{run}/{name}")
+    return hash_tree.stored_differences(spark, f"{run}/left", f"{run}/right")
+
+
 # ------------------------------------------------------------ hash records
 
 

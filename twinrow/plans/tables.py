@@ -63,6 +63,18 @@ def orders_copy(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+NEARLY = "o_totalprice between 250000 and 250500"
+
+
+def orders_nearly(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as rows of id, name and value, about one in a thousand with another name."""
+    return table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.when(F.expr(NEARLY), F.lit("OTHER")).otherwise(F.col("o_orderpriority")).alias("name"),
+        _price(F.col("o_totalprice")).alias("val"),
+    )
+
+
 def orders_wide(spark: SparkSession, folder: str) -> DataFrame:
     """Wide hash records of each order and its faulty form; lost ones lack the right half."""
     df = table(spark, folder, "orders")
