@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from twinrow.functions import render
 from twinrow.operators import (
-    agreement, diff, hash_tree, hashing, key_filter, profile, reconcile, windows, words,
+    agreement, diff, hash_tree, hashing, key_filter, profile, reconcile, wide, windows, words,
 )
 from twinrow.plans import jobs, tables
 from twinrow.session import run_folder
@@ -301,6 +301,19 @@ def diff_report_crowded(spark: SparkSession, folder: str) -> DataFrame:
     return diff.diff_report(*_clicks_and_views(spark, folder), DIFF_FIELDS, ["user_id"])
 
 
+@query("""
+select cast(o_orderkey as varchar) as left_key, cast(o_orderkey as varchar) as right_key,
+  'c' || (o_custkey % 200) as left_field, 'c' || (o_custkey % 200) as right_field,
+  case when o_custkey % 2 = 0 then cast(o_custkey + o_custkey % 200 as varchar)
+    else '"' || o_orderpriority || '#' || (o_custkey % 200) || '"' end as left_value,
+  case when o_custkey % 2 = 0 then '-1' else '"OTHER"' end as right_value
+from orders where o_totalprice between 250000 and 250500""")
+def wide_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """Differing fields of orders with two hundred columns, level by level."""
+    sides = [tables.orders_of_many_columns(spark, folder, faulty) for faulty in (False, True)]
+    return wide.wide_diff(*sides, tables.WIDE_FIELDS, ["o_orderkey"])
+
+
 # ------------------------------------------------------------ reconciliation
 
 NETS = """

@@ -75,6 +75,24 @@ def orders_nearly(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+WIDE_FIELDS = [f"c{k}" for k in range(200)]
+
+
+def orders_of_many_columns(spark: SparkSession, folder: str, faulty: bool = False) -> DataFrame:
+    """Orders with two hundred columns made of their own; the faulty copy has another
+    value in one column of about a row in a thousand."""
+    df = table(spark, folder, "orders")
+    wrong = F.expr(NEARLY) if faulty else F.lit(False)
+    columns = []
+    for k, name in enumerate(WIDE_FIELDS):
+        own, other = (
+            (F.col("o_custkey") + k, F.lit(-1).cast("bigint")) if k % 2 == 0
+            else (F.concat("o_orderpriority", F.lit(f"#{k}")), F.lit("OTHER"))
+        )
+        columns.append(F.when(wrong & (F.col("o_custkey") % 200 == k), other).otherwise(own).alias(name))
+    return df.select("o_orderkey", *columns)
+
+
 def orders_wide(spark: SparkSession, folder: str) -> DataFrame:
     """Wide hash records of each order and its faulty form; lost ones lack the right half."""
     df = table(spark, folder, "orders")
