@@ -231,3 +231,60 @@ def test_a_failed_batch_leaves_no_double_line(spark, feeds, folder, monkeypatch)
     lines = [r.value for r in bounded.report_lines(spark, path).collect()]
     want = windows.window_diff(*(f.batch() for f in feeds), ["a"], ["id"]).where(F.col("window_start") < F.lit(START + datetime.timedelta(seconds=800)))
     assert len(lines) == want.count() == len(set(lines))
+
+
+def test_windows_of_arrival_stay_the_same_after_a_failure(spark, feeds, folder, monkeypatch):
+    feeds[0].add([('{"id":1,"a":"x"}', 1)])
+    feeds[1].add([('{"id":1,"a":"y"}', 999)])
+    path = f"{folder}/out"
+
+    def start():
+        bounded.start_window_report(
+            *(f.stream() for f in feeds), ["a"], ["id"], path, f"{folder}/check", ts=None, availableNow=True
+        ).awaitTermination()
+
+    add, stamps = Ledger.add, []
+
+    def fails(self, *rest):
+        stamps.append(self.state.marks["stamp"])
+        raise OSError("lost")
+
+    monkeypatch.setattr(Ledger, "add", fails)
+    with pytest.raises(Exception):
+        start()
+    monkeypatch.setattr(Ledger, "add", lambda self, *rest: (stamps.append(self.state.marks["stamp"]), add(self, *rest)))
+    start()
+    assert len(stamps) >= 2 and stamps[0] == stamps[1]
+    met = rows(bounded.finish_window_report(spark, path, ["a"]).select("left_value", "right_value"))
+    assert met == [('"x"', None), (None, '"y"')]
+
+
+def test_clean_rows_of_a_stream_equal_the_batch(spark, folder, monkeypatch):
+    items = [("a", "b"), (" ", "c"), (None, ""), ("d", "e"), ("f", "\t")]
+    schema = StructType().add("x", "string").add("y", "string")
+    path, checkpoint = f"{folder}/out", f"{folder}/check"
+    assert bounded.clean_rows(spark, path, schema).isEmpty()
+    add, failed = Ledger.add, []
+
+    def fails(self, batch, *rest, **more):
+        add(self, batch, *rest, **more)
+        if batch == 1 and not failed:
+            failed.append(batch)
+            raise OSError("lost after the manifest")
+
+    monkeypatch.setattr(Ledger, "add", fails)
+    for step in range(3):
+        spark.createDataFrame(items[step:], schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        for _ in range(2):
+            try:
+                bounded.start_clean(stream, ["x", "y"], path, checkpoint, availableNow=True).awaitTermination()
+                break
+            except Exception:
+                assert failed
+    every = [i for step in range(3) for i in items[step:]]
+    blank = [[v is None or not v.strip() for v in i] for i in every]
+    assert failed and bounded.clean_counts(spark, path) == {
+        "kept": sum(not any(b) for b in blank), "blanks": {"x": sum(b[0] for b in blank), "y": sum(b[1] for b in blank)},
+    }
+    assert rows(bounded.clean_rows(spark, path, schema)) == sorted((i for i, b in zip(every, blank) if not any(b)), key=repr)

@@ -786,6 +786,19 @@ def stream_window_late(spark: SparkSession, folder: str) -> DataFrame:
     return _shown_report(bounded.finish_window_report(spark, f"{run}/out", DIFF_FIELDS))
 
 
+@query(SQL["blank_profile_trim"])
+def stream_blank_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Blanks of every column of a stream, counted beside the filter."""
+    run = run_folder(spark, "stream-blank-counts")
+    documents = tables.labelled_documents(spark, folder)
+    documents.repartition(3, "doc_id").write.parquet(f"{run}/in")
+    rows = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in")
+    _finished(bounded.start_clean(rows, DOC_COLUMNS, f"{run}/out", f"{run}/checkpoint", availableNow=True))
+    counts = bounded.clean_counts(spark, f"{run}/out")["blanks"]
+    one = spark.range(1)
+    return one.select(*[F.lit(counts.get(c, 0)).cast("bigint").alias(c) for c in DOC_COLUMNS])
+
+
 # ------------------------------------------------------------ files and jobs
 
 

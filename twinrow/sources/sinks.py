@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -35,13 +36,23 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
 def preview(df: DataFrame, rows: int = 20) -> None:
     """Print the first rows of a batch frame and how many there are in all.
 
-    A look at a result, not an output: ``write_text`` and ``write_csv`` write all.
+    A look at a result, not an output: ``write_text`` and ``write_csv`` write all. The
+    frame is computed once.
     """
-    total = df.count()
-    df.show(rows, truncate=False)
+    held = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        total = held.count()
+        held.show(rows, truncate=False)
+    finally:
+        held.unpersist()
     print(f"{min(rows, total)} of {total} rows")
 
 
-def show_stream(df: DataFrame, mode: str = "append") -> StreamingQuery:
-    """Print the first rows of each batch of a stream, as a preview."""
-    return df.writeStream.format("console").outputMode(mode).option("truncate", False).start()
+def show_stream(df: DataFrame, rows: int = 20, mode: str = "append") -> StreamingQuery:
+    """Print the first rows of each batch of a stream, and how many it has, as a preview."""
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}")
+        preview(batch, rows)
+
+    return df.writeStream.outputMode(mode).foreachBatch(show).start()

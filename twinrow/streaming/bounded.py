@@ -12,7 +12,10 @@ of the batch before it, and late records go to a table of their own, which
 ``finish_window_report`` merges into a corrected report. Every record of the input is
 in exactly one window or late, and the counts of both are exact.
 
-Both start from stateless streams, so whatever a batch writes is written before the
+**Blank counts.** Rows of a stream without a blank field are written batch by batch, and
+the blanks of all rows are counted in the same pass and added up in the manifest.
+
+All start from stateless streams, so whatever a batch writes is written before the
 manifest names it, and a batch that failed is repeated with the same result.
 """
 
@@ -20,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (
@@ -29,6 +32,7 @@ from pyspark.sql.types import (
 
 from twinrow.operators.agreement import both_sides
 from twinrow.operators.diff import check_fields, diff_rendered, keyed, rendered
+from twinrow.operators.profile import drop_blank
 from twinrow.operators.reconcile import RECORD, reconcile
 from twinrow.operators.windows import WIDTH
 from twinrow.sources.sinks import text_lines
@@ -124,28 +128,26 @@ def _written(df: DataFrame, schema: StructType, folder: str) -> DataFrame:
 
 def start_window_report(
     left: DataFrame, right: DataFrame, left_fields: Sequence[str], key_fields: Sequence[str],
-    path: str, checkpoint: str, ts: str = "ts", width: str = WIDTH, delay: str = WIDTH,
+    path: str, checkpoint: str, ts: str | None = "ts", width: str = WIDTH, delay: str = WIDTH,
     right_fields: Sequence[str] | None = None, right_key_fields: Sequence[str] | None = None,
     fan_in: int = FAN_IN, text: bool = False, **trigger: object,
 ) -> StreamingQuery:
     """Report differing fields of each window once the watermark has passed its end.
 
     With ``text`` the report is also written as lines, to the folder ``lines``, each
-    batch once. A record without a time belongs to no window and is late.
+    batch once. A record without a time belongs to no window and is late. Without
+    ``ts`` windows are of the time of arrival: a batch is stamped before it is first
+    worked on, and keeps its stamp when it is repeated, so windows stay the same.
     """
     right_fields = list(right_fields or left_fields)
     check_fields(left_fields, right_fields)
     ledger = window_ledger(left.sparkSession, path, fan_in)
     spark, root = ledger.spark, ledger.path
-    # A record without a time would be dropped by the window, so it stands at another
-    # while windows are made.
-    time = F.col(f"`{ts}`").cast("timestamp")
-    window = F.window(F.coalesce(time, F.timestamp_micros(F.lit(0))), width)
-    start, end = (F.when(time.isNotNull(), window[e]).alias(f"window_{e}") for e in ("start", "end"))
+    time = [] if ts is None else [F.col(f"`{ts}`").cast("timestamp").alias("at")]
     sides = [
         rendered(
-            keyed(side, fields, keys, keep=[start, end, time.alias("at")]),
-            fields, keys, on=["window_start", "window_end", "at", "keys"],
+            keyed(side, fields, keys, keep=time),
+            fields, keys, on=[*(["at"] if time else []), "keys"],
         )
         for side, fields, keys in (
             (left, left_fields, key_fields), (right, right_fields, right_key_fields or key_fields),
@@ -160,6 +162,15 @@ def start_window_report(
         if not ledger.has(batch_id):
             marks = dict(ledger.state.marks)
             passed = marks.get("watermark")
+            if ts is None:
+                marks["stamp"] = [batch_id, ledger.stamp(batch_id)]
+                batch = batch.withColumn("at", F.timestamp_micros(F.lit(marks["stamp"][1])))
+            # A record without a time would be dropped by the window, so it stands at
+            # another while windows are made.
+            window = F.window(F.coalesce("at", F.timestamp_micros(F.lit(0))), width)
+            batch = batch.withColumn("w", window).withColumns(
+                {f"window_{e}": F.when(F.col("at").isNotNull(), F.col(f"w.{e}")) for e in ("start", "end")}
+            )
             late = F.lit(False) if passed is None else _micros(F.col("window_end")) <= passed
             late |= F.col("window_end").isNull()
             latest = [
@@ -295,3 +306,45 @@ def tally_of(spark: SparkSession, path: str) -> dict[str, int]:
         "open": open_.agg(both).first()[0],
         "late": late_records(spark, path).agg(both).first()[0],
     }
+
+
+# ----------------------------------------------------------- blank counts
+
+
+def _clean_ledger(spark: SparkSession, path: str) -> Ledger:
+    return Ledger(spark, path, _schema(("row", _TEXT), ("n", _LONG)), ["row"])
+
+
+def start_clean(
+    rows: DataFrame, columns: Sequence[str], path: str, checkpoint: str, rule: str = "trim", **trigger: object
+) -> StreamingQuery:
+    """Write the rows of a stream without a blank field, and count blanks and kept rows.
+
+    Each batch counts once, also when it is repeated.
+    """
+    ledger = _clean_ledger(rows.sparkSession, path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if ledger.has(batch_id):
+            return
+        blanks, kept = Observation("blanks"), Observation("kept")
+        clean = drop_blank(batch, columns, rule, blanks).observe(kept, F.count(F.lit(1)).alias("n"))
+        clean.write.mode("overwrite").parquet(f"{ledger.path}/clean/batch_id={batch_id}")
+        counts = ledger.state.marks.get("blanks", {})
+        ledger.add(batch_id, None, marks={
+            "closed": True, "kept": ledger.state.marks.get("kept", 0) + (kept.get["n"] or 0),
+            "blanks": {c: counts.get(c, 0) + (blanks.get[c] or 0) for c in columns},
+        })
+
+    return _started(rows, write, checkpoint, trigger)
+
+
+def clean_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All rows kept so far."""
+    return _committed(_clean_ledger(spark, path), "clean", schema)
+
+
+def clean_counts(spark: SparkSession, path: str) -> dict[str, object]:
+    """Rows kept so far, and blanks of every column over all rows."""
+    marks = _clean_ledger(spark, path).state.marks
+    return {"kept": marks.get("kept", 0), "blanks": marks.get("blanks", {})}

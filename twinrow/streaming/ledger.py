@@ -20,6 +20,7 @@ stream has one; readers may come at any time.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
@@ -96,6 +97,19 @@ class Ledger:
             merged=(), marks=self.state.marks if marks is None else marks,
         ))
 
+    def stamp(self, batch: int) -> int:
+        """When a batch first came, in microseconds, written before the batch is.
+
+        A batch that is repeated has the time of its first try.
+        """
+        held = self.state.marks.get("stamp")
+        if held is None or held[0] != batch:
+            # No batch is older than the one before it, whatever the clock does.
+            now = max(time.time_ns() // 1000, held[1] if held else 0)
+            marks = self.state.marks | {"stamp": [batch, now]}
+            self._commit(replace(self.state, version=self.state.version + 1, merged=(), marks=marks))
+        return self.state.marks["stamp"][1]
+
     def read(self, *more: str) -> DataFrame:
         """Rows of all runs, and of further folders below the path; a record may be in several."""
         folders = [f"{self.path}/{f}" for f in (*(r[0] for r in self.state.runs), *more)]
