@@ -158,6 +158,19 @@ def test_names_at_sentence_starts_and_lower_cased_copies(spark, docs):
     assert leaked(spark, docs, ["Over there", "hi There"], [(1, "Hi there")]) == {1: [1]}
 
 
+def test_common_windows_do_not_multiply(spark, docs):
+    """Thousands of items that share a phrase: texts of the phrase meet none of them."""
+    phrase = "please read the following question with care and choose the best answer"
+    words = "amber brook cedar dune ember flint grove heath inlet jetty".split()
+    items = [
+        (i, f"{phrase} {' '.join(words[int(c)] + words[int(d)] + ' ' + words[int(d)] for c, d in zip(f'{i:04d}', f'{i:04d}'[::-1]))} and why {words[i % 10]} of {words[i // 10 % 10]} or {words[i // 100 % 10]}")
+        for i in range(2000)
+    ]
+    texts = [phrase, phrase + " " + phrase, items[77][1], "before " + items[1234][1] + " after"]
+    found = leaked(spark, docs, texts, items)
+    assert set(found) == {2, 3} and 77 in found[2] and 1234 in found[3]
+
+
 # ---------------------------------------------------------------- urls
 
 URLS = [

@@ -12,7 +12,9 @@ count.
 
 **Join.** Windows of the benchmark are a small table; its size is checked, and up
 to ``BROADCAST_ROWS`` windows it is broadcast, so the corpus is scanned once and
-only hits are shuffled. A larger benchmark is joined by shuffle.
+only hits are shuffled. A larger benchmark is joined by shuffle. Items are first looked
+for by their rarest windows, of which a contaminated text must hold one, then counted,
+and only those with enough windows are aligned.
 
 **Slots.** Hits of a document and an item that lie at the same offset form an
 alignment. A re-parameterised question has every value replaced the same way
@@ -33,7 +35,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinrow.llm.common import BROADCAST_ROWS, settled, unused, whole
@@ -189,22 +191,37 @@ def contaminations(
         ),
         "window-hits",
     )
-    # Items of which too little is there are left before slots are looked at.
+    # An item of which enough is there shares one of its rarest windows with the text:
+    # all but one less than must be found. So windows that many items have join nothing
+    # but the items that hold little else.
     which = ["id", "print", "item", "form"]
     of_items = windows.select("item", "form", "hash", "at", "own")
+    sets = settled(windows.select("item", "form", "hash").distinct(), "item-windows")
+    held_by = sets.groupBy("hash").agg(F.count(F.lit(1)).alias("items"))
+    rarest = Window.partitionBy("item", "form").orderBy("items", "hash")
+    spare = F.col("windows") - F.ceil(F.col("windows") * SHARE) + 1
+    rare = settled(
+        sets.join(held_by, "hash").join(totals, ["item", "form"])
+        .withColumn("rank", F.row_number().over(rarest)).where(F.col("rank") <= spare)
+        .select("item", "form", "hash", "windows"),
+        "rare-windows",
+    )
+    seen = settled(hits.select("id", "print", "hash").distinct(), "texts-windows")
+    likely = seen.join(rare, "hash").select(*which, "windows").distinct()
     enough = (
-        hits.select("id", "print", "hash").distinct()
-        .join(of_items.select("item", "form", "hash").distinct(), "hash")
-        .groupBy(*which).agg(F.count(F.lit(1)).alias("found"))
-        .join(totals, ["item", "form"]).where(F.col("found") >= F.col("windows") * SHARE)
-        .select(*which, "windows")
+        likely.join(sets, ["item", "form"]).alias("a")
+        .join(seen.alias("b"), F.expr("a.id <=> b.id and a.print = b.print and a.hash = b.hash"), "left_semi")
+        .groupBy(*which, "windows").agg(F.count(F.lit(1)).alias("found"))
+        .where(F.col("found") >= F.col("windows") * SHARE).drop("found")
     )
     enough = settled(enough, "covered-items")
-    aligned = hits.join(of_items, "hash").withColumn("shift", F.col("spot") - F.col("at"))
-    near = aligned.alias("a").join(
-        enough.alias("e"),
-        F.expr("a.id <=> e.id and a.print = e.print and a.item = e.item and a.form = e.form"),
-    ).select("a.*", "windows")
+    near = (
+        hits.alias("a")
+        .join(enough.alias("e"), F.expr("a.id <=> e.id and a.print = e.print"))
+        .select("a.*", "e.item", "e.form", "e.windows")
+        .join(of_items, ["item", "form", "hash"])
+        .withColumn("shift", F.col("spot") - F.col("at"))
+    )
     pair = F.arrays_zip(F.col("own").alias("own"), F.col("seen").alias("seen"))
     slots = F.filter(
         F.transform(
