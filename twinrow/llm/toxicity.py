@@ -21,6 +21,7 @@ of its labels as probability everywhere, and without any labels zero.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -42,7 +43,7 @@ FEATURES = 3_000
 FOLDS = 4
 #: Features below this chi-square are left out; by chance one in 16,000 reaches it.
 APART = 16.0
-#: A feature occurs in so many documents at least; longer words are no features.
+#: A feature occurs in so many documents at least; a longer word stands as its digest.
 LEAST = 4
 LONGEST = 40
 
@@ -52,10 +53,11 @@ _EDGES = b".,;:!?\"'()[]{}|#$%&*<>-"
 def _features(word: bytes) -> list[str]:
     """A word without punctuation around it, and its beginnings."""
     word = word.strip(_EDGES)
-    if not word or len(word) > LONGEST:
+    if not word:
         return []
     text = word.decode("utf-8", "replace")
-    return [text, *[f"{text[:n]}-" for n in (4, 5) if len(text) > n]]
+    own = text if len(word) <= LONGEST else hashlib.blake2b(word, digest_size=16).hexdigest()
+    return [own, *[f"{text[:n]}-" for n in (4, 5) if len(text) > n]]
 
 
 def _present(texts: pa.Array, known: dict[str, int] | None) -> tuple[np.ndarray, np.ndarray, list[str]]:
