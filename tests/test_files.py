@@ -55,6 +55,27 @@ def test_wrong_field_count_fails(spark, folder, line):
         files.read_csv_rows(spark, path, ROW).collect()
 
 
+@pytest.mark.parametrize("block", ["128m", "64", "7"])
+def test_wrong_lines_go_out_with_their_place(spark, folder, block):
+    good = [(str(i), "é" * (i % 4), "v") for i in range(40)]
+    lines = [",".join(g) for g in good]
+    for at, line in ((3, "short"), (17, "a,b,c,d"), (18, ""), (40, "é,é"), (43, "1,2,3,4,5")):
+        lines.insert(at, line)
+    path = put(folder, "a.csv", "\n".join(lines) + "\n")
+    other = put(folder, "b.csv", "x\n1,2,3\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        rows_, wrong = files.split_csv_rows(spark, [path, other], ROW)
+        got = sorted((r.file.rsplit("/", 1)[1], r.offset, r.fields, r.line) for r in wrong.collect())
+        assert rows(rows_) == sorted([*good, ("1", "2", "3")], key=repr)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    raw = {n: open(p, "rb").read() for n, p in (("a.csv", path), ("b.csv", other))}
+    assert [g[2:] for g in got] == [(1, "short"), (4, "a,b,c,d"), (1, ""), (2, "é,é"), (5, "1,2,3,4,5"), (1, "x")]
+    for name, offset, _, line in got:
+        assert raw[name][offset:].split(b"\n")[0] == line.encode()
+
+
 def test_csv_round_trip(spark, folder):
     df = spark.createDataFrame(
         [("1", 'q"q', " x "), ("2", "", "back\\slash"), ("3", "'", "")], "id string, name string, val string"

@@ -809,6 +809,26 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_csv_rows(spark, path, tables.ID_FIELDS)
 
 
+@query(f"""
+with {ORDERS}
+select id, name, val, cast(null as varchar) as line from r where not (name = 'UNKNOWN' or starts_with(id, '+'))
+union all select null, null, null, id || ',' || name || ',' || val || ',' from r where name = 'UNKNOWN'
+union all select null, null, null, id || ';' || name from r where starts_with(id, '+') and name <> 'UNKNOWN'""")
+def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of a CSV file of which some lines have too many or too few fields, and those lines."""
+    path = run_folder(spark, "csv-quarantine")
+    line = (
+        F.when(F.col("name") == "UNKNOWN", F.concat_ws(",", "id", "name", "val", F.lit("")))
+        .when(F.col("id").startswith("+"), F.concat_ws(";", "id", "name"))
+        .otherwise(F.concat_ws(",", "id", "name", "val"))
+    )
+    sinks.write_text(tables.orders_copy(spark, folder).select(line.alias("value")), path)
+    good, wrong = files.split_csv_rows(spark, path, tables.ID_FIELDS)
+    return good.withColumn("line", F.lit(None).cast("string")).unionByName(
+        wrong.select("line"), allowMissingColumns=True
+    )
+
+
 @query(f"""
 with {ORDERS} select '(' || id || ',' || name || ',' || val || ')' as value from r
 union all select id from l""")
