@@ -6,6 +6,7 @@ events of these types. ``SQL`` lacks a query where plain SQL has no equal.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from twinrow.functions import render
 from twinrow.operators import (
-    agreement, diff, hash_tree, hashing, key_filter, profile, reconcile, wide, windows, words,
+    agreement, diff, hash_tree, hashing, key_filter, profile, reconcile, runs, wide, windows,
+    words,
 )
 from twinrow.plans import jobs, tables
 from twinrow.session import run_folder
@@ -243,6 +245,22 @@ def keep_keys(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(SQL["classify"])
+def classify_kept_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs kept in bucketed tables, compared without an exchange."""
+    path = run_folder(spark, "kept-runs")
+    kept = []
+    for name, side in zip(("left", "right"), _both_orders(spark, folder)):
+        side.write.parquet(f"{path}/{name}")
+        run = runs.Run(f"kept_{uuid.uuid4().hex}", f"{path}/{name}-run")
+        runs.keep_run(
+            spark, run, lambda paths: spark.read.parquet(*paths), [f"{path}/{name}"],
+            tables.ID_FIELDS, ["id"], buckets=8,
+        )
+        kept.append(run)
+    return runs.compare_runs(spark, *kept)
+
+
 @query(SQL["keep_keys"])
 def keep_keys_filtered(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows, most others dropped at the scan by the bits of the key set."""
