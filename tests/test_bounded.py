@@ -15,7 +15,7 @@ from twinrow.operators import reconcile as batch_form
 from twinrow.operators import windows
 from twinrow.operators.hashing import hash_both
 from twinrow.session import exists
-from twinrow.streaming import bounded
+from twinrow.streaming import bounded, running
 from twinrow.streaming.ledger import Ledger
 
 START = datetime.datetime(2024, 1, 1)
@@ -160,6 +160,7 @@ def test_a_batch_is_applied_once(spark, feeds, folder, monkeypatch):
 def test_empty_streams(spark, feeds, folder):
     path = f"{folder}/out"
     assert bounded.outstanding_records(spark, path).isEmpty()
+    assert running.reconciled(spark, path).isEmpty() and running.window_report(spark, path).isEmpty()
     assert bounded.running_report(spark, path).isEmpty() and bounded.report_lines(spark, path).isEmpty()
     bounded.start_window_report(
         *(f.stream() for f in feeds), ["a"], ["id"], path, f"{folder}/check", availableNow=True

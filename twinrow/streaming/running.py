@@ -12,13 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from twinrow.operators.agreement import both_sides
 from twinrow.operators.diff import check_fields, diff_rendered, keyed, rendered
 from twinrow.operators.hashing import with_key_hash
 from twinrow.operators.reconcile import latest, reconcile
 from twinrow.operators.windows import WIDTH, record
-from twinrow.session import settled
+from twinrow.session import exists, settled
+from twinrow.streaming.bounded import NETS, REPORT
 
 
 def append_to_table(
@@ -58,8 +60,14 @@ def start_reconcile(
 
 
 def reconciled(spark: SparkSession, path: str) -> DataFrame:
-    """Current net of every record of a reconciliation."""
-    return latest(spark.read.parquet(path))
+    """Current net of every record of a reconciliation; none before its first batch."""
+    return latest(_written(spark, path, NETS))
+
+
+def _written(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What batches wrote so far, with their ``batch_id``."""
+    schema = StructType([*schema.fields, StructField("batch_id", LongType())])
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def _report_records(
@@ -236,7 +244,11 @@ def stream_matches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Counted records that a query dropped as they came behind the watermark."""
+    """Counted records that a query dropped as they came behind the watermark.
+
+    Spark remembers the progress of the latest hundred batches, and so does this sum;
+    ``bounded.late_count`` is over all batches, and keeps the records.
+    """
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress for operator in progress["stateOperators"]
@@ -245,4 +257,4 @@ def late_rows(query: StreamingQuery) -> int:
 
 def window_report(spark: SparkSession, path: str) -> DataFrame:
     """All report rows written so far."""
-    return spark.read.parquet(f"{path.rstrip('/')}/report").drop("batch_id")
+    return _written(spark, f"{path.rstrip('/')}/report", REPORT).drop("batch_id")
