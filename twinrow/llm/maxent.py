@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 from twinrow.llm.common import by_bytes, settled, words_of
 
 VOCABULARY = 131_072
+#: Bytes of text that are worked on at a time.
+PIECE_BYTES = 4_000_000
 LONGEST = 64
 #: Classes of frequent words, words in each, bands of further words, the open class.
 CLOSED, WIDTH, BANDS = 16, 64, 15
@@ -64,7 +66,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
     """``token`` (bytes, the end being empty) and ``c`` over the column ``text``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches):
+        for batch in by_bytes(batches, limit=PIECE_BYTES):
             seen = pc.value_counts(words_of(batch.column("text")).array())
             tokens = pa.concat_arrays([seen.field(0).cast(pa.binary()), pa.array([END], pa.binary())])
             counts = pa.concat_arrays([seen.field(1), pa.array([batch.num_rows], pa.int64())])
@@ -318,7 +320,7 @@ def trained(docs: DataFrame, vocabulary: Vocabulary) -> Weights:
             scorer = Scorer(*shared.value)  # noqa: B023
             scorer.start_training()
             salt = 0
-            for batch in by_bytes(batches):
+            for batch in by_bytes(batches, limit=PIECE_BYTES):
                 scorer.learn(sequence(batch.column("text"), scorer.index, scorer.v.end))
                 salt += batch.num_rows
             if salt:
@@ -391,7 +393,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*shared.value)
         v = scorer.v
-        for batch in by_bytes(batches):
+        for batch in by_bytes(batches, limit=PIECE_BYTES):
             s = sequence(batch.column("text"), scorer.index, v.end)
             n = batch.num_rows
             log_p = np.add.reduceat(scorer.log_probability(s), s.first[:-1])
