@@ -18,7 +18,7 @@ from twinrow.operators import (
     words,
 )
 from twinrow.plans import jobs, tables
-from twinrow.session import run_folder
+from twinrow.session import folder_bytes, run_folder
 from twinrow.sources import files, sinks, topics
 from twinrow.streaming import bounded, running
 
@@ -30,6 +30,8 @@ HOUR = "1 hour"
 DELAY = "10 minutes"
 DIFF_FIELDS = ["event_id", "event_type", "props"]
 DOC_COLUMNS = ["lang", "quality", "body"]
+# Bytes of a table that go to one file of a stream.
+FILE_BYTES = 32 << 20
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -762,18 +764,32 @@ def stream_window_diff(spark: SparkSession, folder: str) -> DataFrame:
     return _shown_report(running.window_report(spark, f"{run}/out"))
 
 
-def _in_parts(spark: SparkSession, folder: str, path: str, parts: int = 4) -> DataFrame:
-    """The events table as a stream that gets it in shuffled parts, each a batch."""
-    events = tables.table(spark, folder, "events")
-    events.repartition(parts, F.xxhash64("event_id")).write.parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+def _in_parts(rows: DataFrame, source: str, path: str, parts: int) -> DataFrame:
+    """Rows made from a table as a stream that gets them in shuffled parts, each a batch.
+
+    A part is one file for each ``FILE_BYTES`` of the table, so tasks stay small however
+    large the table is. Rows are dealt by all columns, as keys may repeat.
+    """
+    spark = rows.sparkSession
+    n = parts * max(1, -(-folder_bytes(spark, source) // (parts * FILE_BYTES)))
+    rows.repartition(n, F.xxhash64(*rows.columns)).write.parquet(path)
+    written = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
+    stream = spark.readStream.schema(rows.schema)
+    return stream.option("maxFilesPerTrigger", -(-written // parts)).parquet(path)
+
+
+def _events_in_parts(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    """The events table as a stream of four batches."""
+    return _in_parts(
+        tables.table(spark, folder, "events"), tables.path_of(folder, "events"), path, 4
+    )
 
 
 @query(SQL["stream_reconcile"])
 def stream_reconcile_bounded(spark: SparkSession, folder: str) -> DataFrame:
     """Reconciliation of a stream in several batches, whose state holds what is outstanding."""
     run = run_folder(spark, "stream-reconcile-bounded")
-    events = _in_parts(spark, folder, f"{run}/in")
+    events = _events_in_parts(spark, folder, f"{run}/in")
     hashed = hashing.hash_both(
         *_copies(events), STREAM_FIELDS, STREAM_KEYS, case_id=1, run_id=2
     )
@@ -790,7 +806,7 @@ def stream_window_late(spark: SparkSession, folder: str) -> DataFrame:
     """Window report of events that arrive shuffled, so that most come behind the
     watermark, corrected by the late records that were kept."""
     run = run_folder(spark, "stream-window-late")
-    events = _in_parts(spark, folder, f"{run}/in")
+    events = _events_in_parts(spark, folder, f"{run}/in")
     sides = [
         topics.decode_json(tables.event_messages(events.where(F.col("event_type") == kind)))
         for kind in ("click", "view")
@@ -809,8 +825,7 @@ def stream_blank_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Blanks of every column of a stream, counted beside the filter."""
     run = run_folder(spark, "stream-blank-counts")
     documents = tables.labelled_documents(spark, folder)
-    documents.repartition(3, "doc_id").write.parquet(f"{run}/in")
-    rows = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/in")
+    rows = _in_parts(documents, tables.path_of(folder, "documents"), f"{run}/in", 3)
     _finished(bounded.start_clean(rows, DOC_COLUMNS, f"{run}/out", f"{run}/checkpoint", availableNow=True))
     counts = bounded.clean_counts(spark, f"{run}/out")["blanks"]
     one = spark.range(1)

@@ -18,8 +18,12 @@ LABELS = {"Id": "id", "Name": "name", "Val": "val"}
 EVENT_FIELDS = ["event_id", "user_id", "event_type", "value", "props", "note"]
 
 
+def path_of(folder: str, name: str) -> str:
+    return f"{folder.rstrip('/')}/{name}.parquet"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(path_of(folder, name))
 
 
 def _price(column: Column) -> Column:
